@@ -22,6 +22,11 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def decoded_path(path: Column) -> Column:
+    """Undoes the percent-encoding of ``_metadata.file_path``; a plus sign stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def without_prefix(path: Column, prefix: Column) -> Column:
     """The rest of ``path`` after ``prefix``; a path that lacks it stays whole."""
     return F.when(

@@ -19,6 +19,7 @@ from tallyhouse.operators import (
 )
 from tallyhouse.plans.retail import Retail
 from tallyhouse.schemas import CONTRACT, FACT_COLUMNS, OVERFLOW
+from tallyhouse.session import split_hot_keys
 from tallyhouse.sinks import parquet
 from tallyhouse.sources import landing, typed
 from tallyhouse.streaming import ingest, refresh
@@ -32,6 +33,7 @@ def query(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]
     """Registers ``build`` under its own name; money leaves as double."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        split_hot_keys(spark)
         return as_double(build(Retail(spark, folder)))
 
     QUERIES[build.__name__] = run
@@ -44,7 +46,7 @@ def query(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]
 @query
 def salesperson_incentive(r: Retail) -> DataFrame:
     return marts.sales_team_mart(
-        r.sales(product=False), r.customers(), r.stores(), r.staff()
+        r.seller_months(known_customers=True), None, r.stores(), r.staff()
     )
 
 
@@ -55,42 +57,40 @@ def customer_month_mart(r: Retail) -> DataFrame:
 
 @query
 def salesperson_month_total(r: Retail) -> DataFrame:
-    return marts.salesperson_month_total(r.sales(product=False))
+    return marts.salesperson_month_total(r.seller_months())
 
 
 @query
 def salesperson_rank(r: Retail) -> DataFrame:
-    return marts.salesperson_rank(marts.salesperson_month_total(r.sales(product=False)))
+    return marts.salesperson_rank(marts.salesperson_month_total(r.seller_months()))
 
 
 @query
 def top_performer(r: Retail) -> DataFrame:
-    return marts.top_performer(marts.salesperson_month_total(r.sales(product=False)))
+    return marts.top_performer(marts.salesperson_month_total(r.seller_months()))
+
+
+def _customer_totals(r: Retail) -> DataFrame:
+    return marts.customer_month_total(r.sales(store=False, product=False))
 
 
 @query
 def customer_spend_trend(r: Retail) -> DataFrame:
-    return marts.customer_spend_trend(marts.customer_month_total(r.sales(product=False)))
+    return marts.customer_spend_trend(_customer_totals(r))
 
 
 @query
 def customer_spend_segment(r: Retail) -> DataFrame:
-    return marts.customer_spend_segment(marts.customer_month_total(r.sales(product=False)))
+    return marts.customer_spend_segment(_customer_totals(r))
 
 
-def _monthly_rows(r: Retail, month: str) -> DataFrame:
-    return r.sales(product=False).select(
+@query
+def window_sum_customer(r: Retail) -> DataFrame:
+    rows = r.sales(store=False, product=False).select(
         "customer_id",
-        "store_id",
-        "sales_person_id",
-        calendar.month_start(F.col("sales_date")).alias(month),
+        calendar.month_start(F.col("sales_date")).alias("sales_date_month"),
         "total_cost",
     )
-
-
-@query
-def window_sum_customer(r: Retail) -> DataFrame:
-    rows = _monthly_rows(r, "sales_date_month").drop("store_id", "sales_person_id")
     return windows.with_group_sum(
         rows, ["customer_id", "sales_date_month"], "total_cost", "total_sales"
     )
@@ -98,7 +98,12 @@ def window_sum_customer(r: Retail) -> DataFrame:
 
 @query
 def window_sum_salesperson(r: Retail) -> DataFrame:
-    rows = _monthly_rows(r, "sales_month").drop("customer_id")
+    rows = r.sales(product=False).select(
+        "store_id",
+        "sales_person_id",
+        calendar.month_start(F.col("sales_date")).alias("sales_month"),
+        "total_cost",
+    )
     return windows.with_group_sum(
         rows, ["store_id", "sales_person_id", "sales_month"], "total_cost", "total_sales"
     )

@@ -59,7 +59,7 @@ def monthly_load(
         joins.sales_rows(rows), f"{out}/sales_rows", ["sales_month", "store_id"], epoch
     )
     spent = customer_mart(rows, customers)
-    sold = sales_team_mart(rows, customers, stores, staff)
+    sold = sales_team_mart(rows, None, stores, staff)
     parquet.publish(spent, f"{out}/customer_mart", ["sales_date_month"], epoch)
     parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch)
     if database:

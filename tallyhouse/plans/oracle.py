@@ -24,8 +24,8 @@ fact AS (
          l_orderkey, l_linenumber, l_returnflag, l_linestatus
   FROM items
   JOIN orders ON o_orderkey = l_orderkey
-  JOIN supplier ON s_suppkey = l_suppkey
-  JOIN part ON p_partkey = l_partkey
+  LEFT JOIN supplier ON s_suppkey = l_suppkey
+  LEFT JOIN part ON p_partkey = l_partkey
 ),
 customers AS (
   SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS last_name,

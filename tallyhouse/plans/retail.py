@@ -3,8 +3,10 @@ the supplier's nation the store."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhouse.functions.calendar import month_start
 from tallyhouse.functions.money import money, unit_price
 from tallyhouse.functions.text import overflow
+from tallyhouse.operators.enrich import known_sales
 from tallyhouse.plans.monthly import Dimensions
 
 
@@ -16,26 +18,35 @@ class Retail:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sales(self, product: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
-        """The sales fact. Without ``product`` the part table is not joined.
+    def sales(
+        self,
+        store: bool = True,
+        product: bool = True,
+        known_customers: bool = False,
+        carry: tuple[str, ...] = (),
+    ) -> DataFrame:
+        """The sales fact, one row per line item of an order.
 
-        ``carry`` names line item columns to keep beside the fact.
+        Without ``store`` or ``product`` the supplier or part table is not joined; each
+        adds at most one match, so the rows stay the same. ``known_customers`` keeps sales
+        to existing customers only, and checks that on the orders, before their items
+        multiply them. ``carry`` names line item columns to keep beside the fact.
         """
-        items = self.table("lineitem")
-        orders = self.table("orders").select("o_orderkey", "o_custkey")
-        sellers = self.table("supplier").select("s_suppkey", "s_nationkey")
-        joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            sellers, F.col("l_suppkey") == F.col("s_suppkey")
-        )
+        orders = self.table("orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
+        if known_customers:
+            orders = known_sales(orders, customers=self.customers())
+        rows = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if product:
-            parts = self.table("part").select("p_partkey", "p_name")
-            joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            parts = self.table("part").select("p_partkey", F.col("p_name").alias("product_name"))
+            rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        if store:
+            rows = self._with_store(rows, "l_suppkey")
         total = money(F.col("l_extendedprice"))
         quantity = F.col("l_quantity").cast("int")
-        return joined.select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("s_nationkey").cast("bigint").alias("store_id"),
-            *([F.col("p_name").alias("product_name")] if product else []),
+        return rows.select(
+            "customer_id",
+            *(["store_id"] if store else []),
+            *(["product_name"] if product else []),
             F.col("l_shipdate").cast("date").alias("sales_date"),
             F.col("l_suppkey").alias("sales_person_id"),
             unit_price(total, quantity).alias("price"),
@@ -45,6 +56,25 @@ class Retail:
             *carry,
         )
 
+    def seller_months(self, known_customers: bool = False) -> DataFrame:
+        """The sales summed per seller and month, dated at its first day.
+
+        A seller has one store, so the store is looked up for the sums instead of for
+        every sale, and a seller with very many sales is combined before the shuffle.
+        """
+        rows = self.sales(store=False, product=False, known_customers=known_customers)
+        month = month_start(F.col("sales_date")).alias("sales_date")
+        sums = rows.groupBy("sales_person_id", month).agg(F.sum("total_cost").alias("total_cost"))
+        return self._with_store(sums, "sales_person_id").select(
+            "store_id", "sales_person_id", "sales_date", "total_cost"
+        )
+
+    def _with_store(self, rows: DataFrame, seller: str) -> DataFrame:
+        sellers = self.table("supplier").select(
+            "s_suppkey", F.col("s_nationkey").cast("bigint").alias("store_id")
+        )
+        return rows.join(sellers, F.col(seller) == F.col("s_suppkey"), "left")
+
     def customers(self) -> DataFrame:
         return self.table("customer").select(
             F.col("c_custkey").alias("customer_id"),

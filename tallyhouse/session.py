@@ -1,8 +1,17 @@
-"""A session for tests and the bench; jobs on a cluster bring their own."""
+"""Session settings: one that jobs need, and a session for tests and the bench."""
 
 from pyspark.sql import SparkSession
 
 
+def split_hot_keys(spark: SparkSession) -> None:
+    """Lets adaptive execution split a hot key even where that costs one more shuffle.
+
+    Without it a join on a hot key stays in one task whenever the next step could reuse
+    the join's partitioning.
+    """
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def local_session(cpus: int = 8, app: str = "tallyhouse") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -16,4 +25,5 @@ def local_session(cpus: int = 8, app: str = "tallyhouse") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    split_hot_keys(spark)
     return spark

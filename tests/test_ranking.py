@@ -1,0 +1,59 @@
+"""Positions across slices against Spark's own windows, on skewed groups with ties."""
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from helpers import GROUP_VALUE, rows_of
+from tallyhouse.operators.ranking import ntile, rank, row_number
+from tallyhouse.operators.windows import with_group_sum
+
+
+@pytest.fixture(scope="module", params=[0, 1, 2])
+def skewed(request, spark):
+    draw = random.Random(request.param)
+    rows = []
+    for number in range(900):
+        group = draw.choice([1, 1, 1, 1, 2, 3, 4, None])
+        value = draw.choice([None, Decimal(draw.randrange(40)), Decimal(7), Decimal(number)])
+        rows.append((group, number, value))
+    rows += [(5, 1000, None), (6, 1001, Decimal(1)), (6, 1002, Decimal(1)), (7, 1003, Decimal(2))]
+    return spark.createDataFrame(rows, GROUP_VALUE)
+
+
+def test_rank(skewed):
+    window = Window.partitionBy("g").orderBy(F.col("v").desc())
+    wanted = skewed.withColumn("r", F.rank().over(window))
+    assert rows_of(rank(skewed, ["g"], "v", "r")) == rows_of(wanted)
+
+
+@pytest.mark.parametrize("tiles", [1, 4, 7, 5000])
+def test_ntile(skewed, tiles):
+    order = [F.col("v").asc(), F.col("id").asc()]
+    window = Window.partitionBy("g").orderBy(*order)
+    wanted = skewed.withColumn("t", F.ntile(tiles).over(window))
+    assert rows_of(ntile(skewed, ["g"], order, tiles, "t")) == rows_of(wanted)
+
+
+def test_row_number_and_group_size(skewed):
+    order = [F.col("v").desc(), F.col("id").asc()]
+    window = Window.partitionBy("g").orderBy(*order)
+    wanted = skewed.withColumn(
+        "in_group", F.count(F.lit(1)).over(Window.partitionBy("g"))
+    ).withColumn("n", F.row_number().over(window))
+    found = row_number(skewed, ["g"], order, "n")
+    assert rows_of(found, *wanted.columns) == rows_of(wanted)
+
+
+def test_a_large_group_spans_slices(spark):
+    """One group, so every slice but the first depends on the offsets."""
+    one = spark.range(5000).select(F.lit(1).alias("g"), F.col("id"), (F.col("id") * 7 % 5000).alias("v"))
+    placed = row_number(one, ["g"], [F.col("v").asc()], "n")
+    assert placed.where(F.col("n") != F.col("v") + 1).count() == 0
+
+
+def test_group_sum_equals_the_window(skewed):
+    wanted = skewed.withColumn("s", F.sum("v").over(Window.partitionBy("g")))
+    assert rows_of(with_group_sum(skewed, ["g"], "v", "s")) == rows_of(wanted)
