@@ -29,8 +29,9 @@ class Dimensions:
 
     @classmethod
     def from_database(cls, spark: SparkSession, database: Database) -> "Dimensions":
+        """Each table is read once and kept: a kept table has a known size, a JDBC one has not."""
         tables = (CUSTOMER_TABLE, STORE_TABLE, STAFF_TABLE)
-        return cls(*[scan(spark, database, table) for table in tables])
+        return cls(*[scratch.keep(scan(spark, database, table), table) for table in tables])
 
     def require_unique_keys(self) -> None:
         require_unique(self.customers, "customer_id")

@@ -34,15 +34,15 @@ customers AS (
   FROM customer
 ),
 stores AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS id, r_name AS store_manager_name
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  SELECT CAST(n_nationkey AS BIGINT) AS id, 'manager of ' || n_name AS store_manager_name
+  FROM nation
 ),
 staff AS (
-  SELECT s_suppkey AS id, s_name AS first_name, n_name AS last_name,
+  SELECT s_suppkey AS id, s_name AS first_name, 'of nation ' || s_nationkey AS last_name,
          CAST(s_nationkey AS BIGINT) AS manager_id,
          CASE WHEN s_acctbal < 0 THEN 'Y' ELSE 'N' END AS is_manager,
-         n_name AS address, CAST(s_nationkey AS VARCHAR) AS pincode
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+         'nation ' || s_nationkey AS address, CAST(s_nationkey AS VARCHAR) AS pincode
+  FROM supplier
 ),
 enriched AS (
   SELECT f.customer_id, c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
@@ -315,8 +315,8 @@ SELECT 'customer' AS role, c_custkey AS id,
        c_name || ' ' || CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS full_name
 FROM customer
 UNION ALL
-SELECT 'staff', s_suppkey, s_name || ' ' || n_name
-FROM supplier JOIN nation ON s_nationkey = n_nationkey
+SELECT 'staff', s_suppkey, s_name || ' of nation ' || s_nationkey
+FROM supplier
 """,
     "implicit_casts": """
 SELECT p_partkey, measure, note, strftime(DATE '2023-03-03' + p_size, '%Y-%m') AS month,

@@ -70,4 +70,10 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def explained(df):
+    """The formatted plan, in which filters are not cut short."""
+    helper = df.sparkSession._jvm.PythonSQLUtils
+    return helper.explainString(df._jdf.queryExecution(), "formatted")
+
+
 GROUP_VALUE = table(g=LONG, id=LONG, v=MONEY)

@@ -1,0 +1,138 @@
+"""Cumulative marts, the monthly load, generated sales, row checks, scratch."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import dimensions_of, explained, golden_sales, rows_of, sales_of
+from tallyhouse import scratch
+from tallyhouse.operators import marts, quality, synth
+from tallyhouse.plans.monthly import Dimensions, monthly_load
+from tallyhouse.schemas import CONTRACT
+from tallyhouse.sinks import parquet
+from tallyhouse.streaming import ingest, refresh
+
+
+def as_files(sales, folder):
+    sales.select(*CONTRACT).write.option("header", True).csv(str(folder))
+
+
+def test_marts_grow_with_each_drop(spark, tmp_path):
+    """Months that arrive over several files are totalled over all of them."""
+    landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
+    keep = refresh.keep_marts(out, *dimensions_of(spark))
+    sales = golden_sales(spark)
+    parts = [sales.where("sales_person_id in (1, 4)"), sales.where("sales_person_id not in (1, 4)")]
+    for number, part in enumerate(parts):
+        as_files(part, landing / str(number))
+        ingest.ingest(spark, str(landing), store, after_batch=keep)
+    spent = marts.customer_mart(sales, *dimensions_of(spark))
+    team = marts.sales_team_mart(sales, *dimensions_of(spark))
+    columns = spent.columns
+    assert rows_of(refresh.read_customer_mart(spark, out), *columns) == rows_of(spent)
+    columns = team.columns
+    assert rows_of(refresh.read_sales_team_mart(spark, out), *columns) == rows_of(team)
+
+    months = refresh.touched_months(spark, store, 0)
+    assert months == ["2023-03", "2023-04"]
+    refresh.refresh_marts(spark, store, out, months, *dimensions_of(spark))
+    assert rows_of(refresh.read_sales_team_mart(spark, out), *columns) == rows_of(team)
+
+
+def test_a_refresh_reads_touched_months_only(spark, tmp_path):
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    as_files(golden_sales(spark), landing)
+    ingest.ingest(spark, str(landing), store)
+    april = ingest.accepted_sales(spark, store).where(F.col("sales_month").isin(["2023-04"]))
+    assert april.count() == 1
+    filters = next(x for x in explained(april).splitlines() if "PartitionFilters" in x)
+    assert "2023-04" in filters and "accepted" in filters
+
+
+def test_monthly_load_publishes_rows_and_marts(spark, tmp_path):
+    landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
+    as_files(golden_sales(spark), landing)
+    ingest.ingest(spark, str(landing), store)
+    dimensions = Dimensions(*dimensions_of(spark))
+    first = monthly_load(spark, store, out, dimensions)
+    assert monthly_load(spark, store, out, dimensions) > first
+    assert parquet.latest(spark, f"{out}/customer_rows").count() == 7
+    rows = parquet.latest(spark, f"{out}/sales_rows")
+    assert rows.count() == 7 and rows.columns[-2:] == ["sales_month", "store_id"]
+    team = marts.sales_team_mart(golden_sales(spark), *dimensions_of(spark))
+    published = parquet.latest(spark, f"{out}/sales_team_mart")
+    assert rows_of(published, *team.columns) == rows_of(team)
+    spent = marts.customer_mart(golden_sales(spark), *dimensions_of(spark))
+    published = parquet.latest(spark, f"{out}/customer_mart")
+    assert rows_of(published, *spent.columns) == rows_of(spent)
+
+
+def test_monthly_load_refuses_repeated_keys(spark, tmp_path):
+    customers, stores, staff = dimensions_of(spark)
+    twice = Dimensions(customers, stores.union(stores), staff)
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        monthly_load(spark, str(tmp_path / "store"), str(tmp_path / "out"), twice)
+
+
+def test_generated_sales_keep_the_rules(spark):
+    sales = synth.synth_sales(spark, 5000)
+    assert sales.count() == 5000 and rows_of(sales) == rows_of(synth.synth_sales(spark, 5000))
+    bounds = sales.agg(
+        *[f(c) for c in ("customer_id", "store_id", "sales_date", "quantity") for f in (F.min, F.max)]
+    ).first()
+    assert tuple(bounds) == (1, 20, 121, 123, date(2023, 3, 3), date(2023, 8, 20), 1, 10)
+    pairs = rows_of(sales.select("store_id", "sales_person_id").distinct())
+    assert pairs == sorted((121 + n // 3, n + 1) for n in range(9))
+    assert sales.where("total_cost <> price * quantity").count() == 0
+    assert rows_of(sales.select("payment_mode").distinct()) == [("UPI",), ("cash",)]
+    prices = dict(rows_of(sales.select("product_name", "price").distinct()))
+    assert prices == {name: price for name, price in synth.PRODUCTS}
+    assert synth.plain(sales).columns == CONTRACT
+    assert "store_id" not in synth.lacking_store(sales).columns
+    one_day = synth.synth_sales(spark, 50, date(2024, 2, 29))
+    assert rows_of(one_day.select("sales_date").distinct()) == [(date(2024, 2, 29),)]
+
+
+def test_generated_files_are_accepted_or_rejected(spark, tmp_path):
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    sales = synth.synth_sales(spark, 40)
+    for name, part in {
+        "plain": synth.plain(sales),
+        "extra": sales,
+        "less": synth.lacking_store(sales),
+    }.items():
+        part.coalesce(1).write.option("header", True).csv(str(landing / name))
+    ingest.ingest(spark, str(landing), store)
+    accepted = ingest.accepted_sales(spark, store)
+    assert accepted.count() == 80
+    assert accepted.where("additional_columns in ('cash', 'UPI')").count() == 40
+    reasons = ingest.landed_files(spark, store).where("reason is not null")
+    assert rows_of(reasons, "reason") == [("missing store_id",)]
+
+
+def test_row_checks(spark):
+    rows = golden_sales(spark)
+    marked = quality.with_reason(
+        rows, {"no store": F.col("store_id").isNull(), "large": F.col("total_cost") >= 7}
+    )
+    bad = quality.quarantined(marked)
+    assert bad.count() + quality.clean(marked).count() == rows.count()
+    assert ("no store; large",) in rows_of(bad, "reason")
+    assert "reason" not in quality.clean(marked).columns
+    checked = quality.total_cost_check(rows.withColumn("price", F.lit(Decimal("4.50"))))
+    assert rows_of(checked.where("matches"), "total_cost") == [(Decimal("4.50"),)]
+
+
+def test_scratch_follows_the_session(spark, monkeypatch):
+    configured = spark.conf.get(scratch.SETTING)
+    kept = scratch.keep(sales_of(spark, [(1, 121, None, 1, "1.00")]), "probe")
+    assert kept.count() == 1 and all(configured in f for f in kept.inputFiles())
+
+    class Elsewhere:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError, match=scratch.SETTING):
+        scratch.root(Elsewhere())
