@@ -4,7 +4,7 @@ the supplier's nation the store.
 Each dimension is a projection of one table, so its size is known when a join is planned.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.functions.calendar import month_start
 from tallyhouse.functions.money import money, unit_price
@@ -12,6 +12,8 @@ from tallyhouse.functions.text import overflow
 from tallyhouse.operators.enrich import known_sales
 from tallyhouse.plans.monthly import Dimensions
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
 
 class Retail:
     def __init__(self, spark: SparkSession, folder: str):
@@ -19,7 +21,11 @@ class Retail:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table by name. Finding out its schema takes a job, so that is done once."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def sales(
         self,

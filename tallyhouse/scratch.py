@@ -21,7 +21,7 @@ def root(spark: SparkSession) -> str:
     configured = spark.conf.get(SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
     global _local_root
     if _local_root is None:

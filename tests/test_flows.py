@@ -131,8 +131,7 @@ def test_scratch_follows_the_session(spark, monkeypatch):
     assert kept.count() == 1 and all(configured in f for f in kept.inputFiles())
 
     class Elsewhere:
-        conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
-        sparkContext = type("Context", (), {"master": "yarn"})
+        conf = {"spark.master": "yarn"}
 
     with pytest.raises(ValueError, match=scratch.SETTING):
         scratch.root(Elsewhere())

@@ -4,11 +4,13 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import plan_of
+from tallyhouse.operators import enrich, marts
+from tallyhouse.operators.windows import with_group_sum
 from tallyhouse.plans.catalog import QUERIES
 from tallyhouse.plans.retail import Retail
-from tallyhouse.operators import marts
 
 DATA = "/root/testdata/sf0.001"
 
@@ -74,3 +76,53 @@ def test_nothing_runs_row_by_row_in_python(spark):
     for name in ("salesperson_incentive", "customer_spend_segment", "union_by_name", "synth_sales"):
         plan = plan_of(QUERIES[name](spark, DATA))
         assert "Python" not in plan and "MapInArrow" not in plan, name
+
+
+@pytest.fixture
+def tiny_partitions(large):
+    """Lets a test-sized hot key count as a large one."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in settings.items():
+        large.conf.set(name, value)
+    yield large
+    for name in settings:
+        large.conf.unset(name)
+
+
+def hot_sales(spark, count=60_000):
+    """A third of the sales belong to customer 7, the rest spread over many."""
+    n = F.col("id")
+    return spark.range(0, count, 1, 8).select(
+        F.when(n % 3 == 0, 7).otherwise(n % 5000).cast("bigint").alias("customer_id"),
+        F.lit(1).cast("bigint").alias("store_id"),
+        (n % 50).alias("sales_person_id"),
+        F.date_add(F.lit("2023-03-01").cast("date"), (n % 28).cast("int")).alias("sales_date"),
+        (n % 1000).cast("decimal(18,2)").alias("total_cost"),
+    )
+
+
+def test_a_hot_customer_is_split_in_joins(tiny_partitions):
+    spark = tiny_partitions
+    customers = spark.range(5000).select(
+        F.col("id").alias("customer_id"),
+        *[F.lit("x").alias(c) for c in ("first_name", "last_name", "address", "pincode", "phone_number")],
+    )
+    joined = enrich.join_customer(hot_sales(spark), customers)
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 60_000
+    totals = marts.salesperson_month_total(enrich.known_sales(hot_sales(spark), customers=customers))
+    assert "skew=true" in final_plan(totals)
+    assert totals.agg(F.sum("total_sales")).first()[0] == 60 * sum(range(1000))
+
+
+def test_a_hot_group_is_split_beside_its_total(tiny_partitions):
+    rows = hot_sales(tiny_partitions).select("customer_id", "total_cost")
+    found = with_group_sum(rows, ["customer_id"], "total_cost", "total_sales")
+    assert "skew=true" in final_plan(found)
+    hot = found.where("customer_id = 7").agg(F.min("total_sales"), F.max("total_sales")).first()
+    wanted = rows.where("customer_id = 7").agg(F.sum("total_cost")).first()[0]
+    assert tuple(hot) == (wanted, wanted)
