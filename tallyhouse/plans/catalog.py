@@ -491,7 +491,7 @@ def cumulative_mart(r: Retail) -> DataFrame:
     base = scratch.folder(r.spark, "cumulative")
     sales = r.sales(carry=("l_linestatus",))
     early = F.col("l_linestatus") == "F"
-    after = refresh.keep_marts(f"{base}/marts", *_dimensions(r))
+    after = refresh.keep_marts(f"{base}/marts", r.dimensions())
     for number, part in enumerate([sales.where(early), sales.where(~early)]):
         _drop_csv(part.select(*CONTRACT), f"{base}/landing/day={number}")
         ingest.ingest(r.spark, f"{base}/landing", f"{base}/store", after_batch=after)

@@ -1,44 +1,20 @@
 """The monthly load: accepted sales to row-level datasets and marts."""
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from tallyhouse import scratch
 from tallyhouse.operators import enrich as joins
 from tallyhouse.operators.marts import customer_mart, sales_team_mart
-from tallyhouse.operators.quality import require_unique
 from tallyhouse.sinks import jdbc, parquet
-from tallyhouse.sources.jdbc import Database, scan
+from tallyhouse.sources.dimensions import Dimensions
+from tallyhouse.sources.jdbc import Database
 from tallyhouse.streaming.ingest import accepted_sales
 
-# Names of the dimension and mart tables in the database.
-CUSTOMER_TABLE = "customer"
-STORE_TABLE = "store"
-STAFF_TABLE = "sales_team"
-PRODUCT_TABLE = "product"
+# The names of the mart tables in the database.
 CUSTOMER_MART_TABLE = "customers_data_mart"
 SALES_TEAM_MART_TABLE = "sales_team_data_mart"
 
 
-@dataclass(frozen=True)
-class Dimensions:
-    customers: DataFrame
-    stores: DataFrame
-    staff: DataFrame
-
-    @classmethod
-    def from_database(cls, spark: SparkSession, database: Database) -> "Dimensions":
-        """Each table is read once and kept: a kept table has a known size, a JDBC one has not."""
-        tables = (CUSTOMER_TABLE, STORE_TABLE, STAFF_TABLE)
-        return cls(*[scratch.keep(scan(spark, database, table), table) for table in tables])
-
-    def require_unique_keys(self) -> None:
-        require_unique(self.customers, "customer_id")
-        require_unique(self.stores, "id")
-        require_unique(self.staff, "id")
-
-
 def monthly_load(
     spark: SparkSession,
     store: str,
@@ -48,7 +24,8 @@ def monthly_load(
 ) -> int:
     """Publishes customer rows, sales rows and both marts as one version; returns its epoch.
 
-    The sales are joined once and kept; all four datasets come from the kept rows.
+    The sales are joined once and kept; all four datasets come from the kept rows. With a
+    ``database`` its two mart tables are replaced, so a rerun leaves no row twice.
     """
     dimensions.require_unique_keys()
     customers, stores, staff = dimensions.customers, dimensions.stores, dimensions.staff
@@ -64,6 +41,6 @@ def monthly_load(
     parquet.publish(spent, f"{out}/customer_mart", ["sales_date_month"], epoch)
     parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch)
     if database:
-        jdbc.append(spent, database, CUSTOMER_MART_TABLE)
-        jdbc.append(sold, database, SALES_TEAM_MART_TABLE)
+        jdbc.replace(spent, database, CUSTOMER_MART_TABLE)
+        jdbc.replace(sold, database, SALES_TEAM_MART_TABLE)
     return epoch

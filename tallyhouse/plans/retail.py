@@ -10,7 +10,7 @@ from tallyhouse.functions.calendar import month_start
 from tallyhouse.functions.money import money, unit_price
 from tallyhouse.functions.text import overflow
 from tallyhouse.operators.enrich import known_sales
-from tallyhouse.plans.monthly import Dimensions
+from tallyhouse.sources.dimensions import Dimensions
 
 _SCHEMAS: dict[str, T.StructType] = {}
 

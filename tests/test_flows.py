@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from helpers import dimensions_of, explained, golden_sales, rows_of, sales_of
 from tallyhouse import scratch
 from tallyhouse.operators import marts, quality, synth
-from tallyhouse.plans.monthly import Dimensions, monthly_load
+from tallyhouse.plans import job
+from tallyhouse.plans.monthly import monthly_load
 from tallyhouse.schemas import CONTRACT
 from tallyhouse.sinks import parquet
+from tallyhouse.sources.dimensions import Dimensions
 from tallyhouse.streaming import ingest, refresh
 
 
@@ -22,7 +24,7 @@ def as_files(sales, folder):
 def test_marts_grow_with_each_drop(spark, tmp_path):
     """Months that arrive over several files are totalled over all of them."""
     landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
-    keep = refresh.keep_marts(out, *dimensions_of(spark))
+    keep = refresh.keep_marts(out, Dimensions(*dimensions_of(spark)))
     sales = golden_sales(spark)
     parts = [sales.where("sales_person_id in (1, 4)"), sales.where("sales_person_id not in (1, 4)")]
     for number, part in enumerate(parts):
@@ -37,7 +39,7 @@ def test_marts_grow_with_each_drop(spark, tmp_path):
 
     months = refresh.touched_months(spark, store, 0)
     assert months == ["2023-03", "2023-04"]
-    refresh.refresh_marts(spark, store, out, months, *dimensions_of(spark))
+    refresh.refresh_marts(spark, store, out, months, Dimensions(*dimensions_of(spark)))
     assert rows_of(refresh.read_sales_team_mart(spark, out), *columns) == rows_of(team)
 
 
@@ -135,3 +137,18 @@ def test_scratch_follows_the_session(spark, monkeypatch):
 
     with pytest.raises(ValueError, match=scratch.SETTING):
         scratch.root(Elsewhere())
+
+
+def test_the_job_lands_and_publishes(spark, tmp_path):
+    for name, table in zip(("customer", "store", "sales_team"), dimensions_of(spark)):
+        table.write.parquet(str(tmp_path / "dims" / name))
+    as_files(golden_sales(spark), tmp_path / "landing")
+    words = ["--landing", "landing", "--store", "store", "--out", "out", "--dimensions", "dims"]
+    chosen = job.options([w if w.startswith("--") else str(tmp_path / w) for w in words])
+    job.run(spark, chosen)
+    first = rows_of(parquet.latest(spark, f"{chosen.out}/sales_team_mart"))
+    job.run(spark, chosen)
+    assert rows_of(parquet.latest(spark, f"{chosen.out}/sales_team_mart")) == first
+    assert len(first) == 6
+    with pytest.raises(SystemExit):
+        job.options(["--landing", "x"])

@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import explained, golden_sales, rows_of
@@ -100,7 +101,8 @@ def test_jdbc_scan_asks_for_split_reads():
     ]
 
 
-def test_jdbc_append_rounds_money_and_raises(spark, monkeypatch):
+@pytest.mark.parametrize("save, mode", [(jdbc_sink.append, "append"), (jdbc_sink.replace, "overwrite")])
+def test_jdbc_write_rounds_money_and_raises(spark, monkeypatch, save, mode):
     written = {}
 
     class Writer:
@@ -119,11 +121,8 @@ def test_jdbc_append_rounds_money_and_raises(spark, monkeypatch):
         [(1, Decimal("104.555"))], "store_id int, total_sales decimal(10,3)"
     )
     monkeypatch.setattr(type(mart), "write", property(Writer))
-    try:
-        jdbc_sink.append(mart, DATABASE, "sales_team_data_mart", connections=3)
-    except RuntimeError as error:
-        assert str(error) == "no such table"
-    else:
-        raise AssertionError("a failed append has to raise")
-    assert written["mode"] == "append" and written["numPartitions"] == 3
+    with pytest.raises(RuntimeError, match="no such table"):
+        save(mart, DATABASE, "sales_team_data_mart", connections=3)
+    assert written["mode"] == mode and written["numPartitions"] == 3
+    assert written.get("truncate", False) == (mode == "overwrite")
     assert written["rows"] == [(1, Decimal("104.56"))]
