@@ -406,9 +406,8 @@ def landing_inventory(r: Retail) -> DataFrame:
 
 def _drops(r: Retail) -> dict[str, DataFrame]:
     """All sales in three layouts: as agreed, with a payment mode, and in another order."""
-    sales = r.sales(carry=("l_returnflag", "l_linestatus")).withColumnRenamed(
-        "l_linestatus", "payment_mode"
-    )
+    sales = scratch.keep(r.sales(carry=("l_returnflag", "l_linestatus")), "drops")
+    sales = sales.withColumnRenamed("l_linestatus", "payment_mode")
     flag = F.col("l_returnflag")
     return {
         "plain": sales.where(flag == "A").select(*CONTRACT),
@@ -489,7 +488,7 @@ def incremental_ingest(r: Retail) -> DataFrame:
 def cumulative_mart(r: Retail) -> DataFrame:
     """Two drops that share their months; the mart holds the totals of both."""
     base = scratch.folder(r.spark, "cumulative")
-    sales = r.sales(carry=("l_linestatus",))
+    sales = scratch.keep(r.sales(carry=("l_linestatus",)), "drops")
     early = F.col("l_linestatus") == "F"
     after = refresh.keep_marts(f"{base}/marts", r.dimensions())
     for number, part in enumerate([sales.where(early), sales.where(~early)]):

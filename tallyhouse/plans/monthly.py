@@ -1,9 +1,8 @@
 """The monthly load: accepted sales to row-level datasets and marts."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
-from tallyhouse import scratch
-from tallyhouse.operators import enrich as joins
+from tallyhouse.operators.enrich import customer_rows, enrich, sales_rows
 from tallyhouse.operators.marts import customer_mart, sales_team_mart
 from tallyhouse.sinks import jdbc, parquet
 from tallyhouse.sources.dimensions import Dimensions
@@ -24,23 +23,27 @@ def monthly_load(
 ) -> int:
     """Publishes customer rows, sales rows and both marts as one version; returns its epoch.
 
-    The sales are joined once and kept; all four datasets come from the kept rows. With a
-    ``database`` its two mart tables are replaced, so a rerun leaves no row twice.
+    Each row dataset joins only the columns it holds, and its mart is totalled from what was
+    published, so no wide copy of the sales is written. With a ``database`` its two mart
+    tables are replaced, so a rerun leaves no row twice.
     """
     dimensions.require_unique_keys()
     customers, stores, staff = dimensions.customers, dimensions.stores, dimensions.staff
-    rows = scratch.keep(
-        joins.enrich(accepted_sales(spark, store), customers, stores, staff), "enriched"
-    )
-    epoch = parquet.publish(joins.customer_rows(rows), f"{out}/customer_rows")
-    parquet.publish(
-        joins.sales_rows(rows), f"{out}/sales_rows", ["sales_month", "store_id"], epoch
-    )
-    spent = customer_mart(rows, customers)
-    sold = sales_team_mart(rows, None, stores, staff)
+    rows = enrich(accepted_sales(spark, store), customers, stores, staff)
+
+    epoch = parquet.publish(customer_rows(rows), f"{out}/customer_rows")
+    spent = customer_mart(parquet.version(spark, f"{out}/customer_rows", epoch), customers)
     parquet.publish(spent, f"{out}/customer_mart", ["sales_date_month"], epoch)
+
+    parquet.publish(sales_rows(rows), f"{out}/sales_rows", ["sales_month", "store_id"], epoch)
+    published = parquet.version(spark, f"{out}/sales_rows", epoch).drop("sales_month")
+    # Read from a folder name, the store is as narrow an integer as its values allow.
+    published = published.withColumn("store_id", F.col("store_id").cast("bigint"))
+    sold = sales_team_mart(published, None, stores, staff)
     parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch)
+
     if database:
-        jdbc.replace(spent, database, CUSTOMER_MART_TABLE)
-        jdbc.replace(sold, database, SALES_TEAM_MART_TABLE)
+        marts = f"{out}/customer_mart", f"{out}/sales_team_mart"
+        for base, table in zip(marts, (CUSTOMER_MART_TABLE, SALES_TEAM_MART_TABLE)):
+            jdbc.replace(parquet.version(spark, base, epoch), database, table)
     return epoch

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse import scratch
 from tallyhouse.operators.quality import require_unique
 from tallyhouse.schemas import CUSTOMER, SALES_TEAM, STORE
-from tallyhouse.sources.jdbc import Database, scan
+from tallyhouse.sources.jdbc import Database, Split, scan
 
 # The names of the dimension tables.
 CUSTOMER_TABLE = "customer"
@@ -23,10 +23,20 @@ class Dimensions:
     staff: DataFrame
 
     @classmethod
-    def from_database(cls, spark: SparkSession, database: Database) -> "Dimensions":
-        """Each table is read once and kept: a kept table has a known size, a JDBC one has not."""
-        tables = (CUSTOMER_TABLE, STORE_TABLE, STAFF_TABLE)
-        return cls(*[scratch.keep(scan(spark, database, table), table) for table in tables])
+    def from_database(
+        cls, spark: SparkSession, database: Database, splits: dict[str, Split] | None = None
+    ) -> "Dimensions":
+        """Each table is read once and kept: a kept table has a known size, a JDBC one has not.
+
+        ``splits`` says by table name how a large table is cut, so that several tasks read it.
+        """
+        cut = splits or {}
+        return cls(
+            *[
+                scratch.keep(scan(spark, database, table, cut.get(table)), table)
+                for table in (CUSTOMER_TABLE, STORE_TABLE, STAFF_TABLE)
+            ]
+        )
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> "Dimensions":
