@@ -54,11 +54,13 @@ def rank(df: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
     """``rank()`` within ``group`` by ``value``, highest first and NULL last.
 
     Tied rows are counted before they are placed, so equal values need no common slice.
+    The rows are used twice, so they are kept: what they come from runs once.
     """
-    counted = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("tied"))
+    kept = scratch.keep(df, "ranked")
+    counted = kept.groupBy(*group, value).agg(F.count(F.lit(1)).alias("tied"))
     positions = with_weight_before(counted, group, [F.col(value).desc()], "tied")
     return (
-        df.alias("row")
+        kept.alias("row")
         .join(positions.alias("position"), same("row", "position", [*group, value]))
         .select("row.*", (F.col("position.before") + 1).cast("int").alias(name))
     )

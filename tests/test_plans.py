@@ -66,6 +66,12 @@ def test_totals_combine_before_the_shuffle(large):
     assert "partial_sum" not in lines[0] and "Exchange" in lines[1] and "partial_sum" in lines[2]
 
 
+def test_ranks_and_segments_scan_the_facts_once(spark):
+    """The facts are totalled into a kept table; what is left to run reads only that."""
+    for name in ("salesperson_rank", "customer_spend_segment"):
+        assert "l_orderkey" not in plan_of(QUERIES[name](spark, DATA)), name
+
+
 def test_contract_checks_need_no_shuffle(spark):
     for name in ("schema_missing_columns", "schema_extra_columns", "split_by_extension"):
         assert "Exchange" not in plan_of(QUERIES[name](spark, DATA)), name
