@@ -15,7 +15,8 @@ def overflow(columns: list[str]) -> Column:
     """
     if not columns:
         return F.lit(None).cast("string")
-    return F.concat_ws(", ", *[F.col(f"`{name}`") for name in columns])
+    quoted = ["`" + name.replace("`", "``") + "`" for name in columns]
+    return F.concat_ws(", ", *[F.col(name) for name in quoted])
 
 
 def base_name(path: Column) -> Column:
