@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import quality
+from tallyhouse.llm import quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,3 +26,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     judged = quality.judge(docs, _table(spark, folder, "labels"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+@query
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"))
