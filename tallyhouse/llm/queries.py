@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import quality, simhash
+from tallyhouse.llm import line_dedup, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +31,34 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return line_dedup.deduplicate(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
+ORACLES["op6_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, lower_ascii AS key
+  FROM (
+    SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line,
+           translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+    FROM (SELECT doc_id, text,
+                 unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i
+          FROM documents)
+  )
+), repeated AS (
+  SELECT key, max(doc_id) AS last_doc FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT l.*, r.key IS NOT NULL AND l.doc_id <> r.last_doc AS gone
+  FROM lines l LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
