@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import line_dedup, quality, simhash
+from tallyhouse.llm import line_dedup, mixing, packing, quality, simhash
+from tallyhouse.llm.words import n_words
+from tallyhouse.scratch import keep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +64,20 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
+    units = keep(mixing.units_of(docs.withColumn("_row", F.monotonically_increasing_id())), "sizes")
+    taken = (F.col("copies") * F.col("_size")).alias("taken")
+    return mixing.mix(units).select(
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", taken, "source", "copies"
+    )
+
+
+@query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """A document's length is its words and one end mark."""
+    docs = _table(spark, folder, "documents").select("doc_id", (n_words(F.col("text")) + 1).alias("length"))
+    return packing.packed(keep(docs, "lengths"))
