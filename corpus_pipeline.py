@@ -6,7 +6,8 @@ to the shared scratch folder and hands what it reads back to the next stage.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import quality
+from tallyhouse.llm import line_dedup, mixing, packing, quality, simhash
+from tallyhouse.llm.words import n_words
 from tallyhouse.scratch import keep
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -18,7 +19,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs.select(*COLUMNS), labels).where(F.col("kept")).select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines held by five documents and more stay in the largest of them only."""
+    kept = line_dedup.deduplicate(docs.select(*COLUMNS))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document comes as often as the mix takes it."""
+    return mixing.mixed(docs.select(*COLUMNS))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each document's words, with one end mark, in training sequences."""
+    lengths = docs.select("doc_id", (n_words(F.col("text")) + 1).alias("length"))
+    return packing.packed(keep(lengths, "lengths"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", repeated_lines),
+    ("simhash_near_dedup", near_duplicates),
+    ("mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
 #: The thresholds and fingerprints have no SQL counterpart; tests/llm compares with brute force.
 ORACLE_SQL = None
