@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import line_dedup, mixing, packing, quality, simhash
+from tallyhouse.llm import line_dedup, mixing, packing, pii, quality, simhash
 from tallyhouse.llm.words import n_words
 from tallyhouse.scratch import keep
 
@@ -81,3 +81,13 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """A document's length is its words and one end mark."""
     docs = _table(spark, folder, "documents").select("doc_id", (n_words(F.col("text")) + 1).alias("length"))
     return packing.packed(keep(docs, "lengths"))
+
+
+#: In production the key comes from a secret store; this one only makes runs comparable.
+PSEUDONYM_KEY = "tallyhouse-demonstration-key"
+
+
+@query
+def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, PSEUDONYM_KEY).select("doc_id", "text", "n_replaced")
