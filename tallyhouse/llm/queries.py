@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import line_dedup, mixing, packing, pii, quality, simhash
+from tallyhouse.llm import licences, line_dedup, mixing, packing, pii, quality, simhash, urls
 from tallyhouse.llm.words import n_words
 from tallyhouse.scratch import keep
 
@@ -91,3 +91,20 @@ PSEUDONYM_KEY = "tallyhouse-demonstration-key"
 def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return pii.pseudonymised(docs, PSEUDONYM_KEY).select("doc_id", "text", "n_replaced")
+
+
+@query
+def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The URLs that rules decide are the labelled ones."""
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.array_join("licence_sentences", ",").alias("licence_sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
