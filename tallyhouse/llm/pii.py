@@ -28,9 +28,12 @@ _IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 _DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
-_PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+_PHONE = (
+    r"(?<![\w+])\+(?:1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
+    r"|\d{1,3}(?:[ .-](?:\(\d{1,4}\)|\d{1,4})){2,5}(?!\w|\.\d)|\d{8,15}(?!\w))"
+)
 _LOCAL = r"(?<![\w(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\w)"
-_CARD = r"(?<![\w-])\d(?:[ -]?\d){11,18}(?![\w-])"
+_CARD = r"(?<![\w-])(?:\d{12,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w)"
 FOUND = "|".join([_EMAIL, _IPV4, _DATE, _SSN, _IBAN, _PHONE, _LOCAL, _CARD])
 _FIRST_DAY = "1800-01-01"
 _CYCLE = (189, 773)
