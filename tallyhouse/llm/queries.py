@@ -4,9 +4,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm import licences, line_dedup, mixing, packing, pii, quality, simhash, urls
+from tallyhouse.llm import (
+    ann_tree,
+    licences,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_files,
+    urls,
+)
 from tallyhouse.llm.words import n_words
-from tallyhouse.scratch import keep
+from tallyhouse.scratch import folder as scratch_folder, keep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,3 +119,22 @@ def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("licence_sentences", ",").alias("licence_sentences"),
         F.array_join("licences", ",").alias("licences"),
     )
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_folder(spark, "token-files")
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    token_files.write(docs, path, public_tokenizers.path(TOKENIZER))
+    return token_files.read(spark, path)
+
+
+@query
+def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann_tree.search(vectors, F.col("vec_id") % 100 == 0)
