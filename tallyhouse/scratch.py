@@ -8,12 +8,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 _local_root = None
+_recorders: list[list[str]] = []
 
 
 def root(spark: SparkSession) -> str:
@@ -32,7 +35,30 @@ def root(spark: SparkSession) -> str:
 
 def folder(spark: SparkSession, label: str) -> str:
     """A new path for one use; nothing is created yet."""
-    return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Lists the scratch folders named inside, so that they can be deleted later."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
+def delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes folders of the scratch root; nothing may read from them any more."""
+    for path in paths:
+        if not path.startswith(f"{root(spark)}/"):
+            raise ValueError(f"{path} is no scratch folder")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
