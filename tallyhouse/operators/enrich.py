@@ -55,11 +55,14 @@ def join_product(sales: DataFrame, products: DataFrame) -> DataFrame:
 def enrich(
     sales: DataFrame, customers: DataFrame, stores: DataFrame, staff: DataFrame
 ) -> DataFrame:
-    """The sale with all three dimensions; a sale missing one of them drops out."""
+    """The sale with all three dimensions; a sale missing one of them drops out.
+
+    The customer comes last, so that only what the other joins left carries its texts.
+    """
     rows = sales.select(
         "customer_id", "store_id", "sales_person_id", "sales_date", "total_cost", "additional_columns"
     )
-    return join_salesperson(join_store(join_customer(rows, customers), stores), staff)
+    return join_customer(join_salesperson(join_store(rows, stores), staff), customers)
 
 
 def known_sales(

@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyhouse.scratch import keep
+
 
 def same(left: str, right: str, keys: list[str]) -> Column:
     """Equality of the key columns of two aliased frames, NULL equal to NULL."""
@@ -18,7 +20,9 @@ def with_group_sum(df: DataFrame, keys: list[str], value: str, name: str) -> Dat
 
     A window sends each group to one task. Here the sum combines on the map side and is
     joined back, so a hot key only makes the join skewed, which adaptive execution splits.
+    The rows are kept once for both sides, so what they come from is computed once.
     """
+    df = keep(df, "group-rows")
     totals = df.groupBy(*keys).agg(F.sum(value).alias(name)).alias("group_total")
     return (
         df.alias("row")

@@ -28,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+READ_BACK_MONTH = "1995-03"
+
 
 def query(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
     """Registers ``build`` under its own name; money leaves as double."""
@@ -45,9 +47,7 @@ def query(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]
 
 @query
 def salesperson_incentive(r: Retail) -> DataFrame:
-    return marts.sales_team_mart(
-        r.seller_months(known_customers=True), None, r.stores(), r.staff()
-    )
+    return marts.sales_team_mart(r.sales(product=False), *_dimensions(r))
 
 
 @query
@@ -57,21 +57,25 @@ def customer_month_mart(r: Retail) -> DataFrame:
 
 @query
 def salesperson_month_total(r: Retail) -> DataFrame:
-    return marts.salesperson_month_total(r.seller_months())
+    return marts.salesperson_month_total(_known_sales(r))
 
 
 @query
 def salesperson_rank(r: Retail) -> DataFrame:
-    return marts.salesperson_rank(marts.salesperson_month_total(r.seller_months()))
+    return marts.salesperson_rank(marts.salesperson_month_total(_known_sales(r)))
 
 
 @query
 def top_performer(r: Retail) -> DataFrame:
-    return marts.top_performer(marts.salesperson_month_total(r.seller_months()))
+    return marts.top_performer(marts.salesperson_month_total(_known_sales(r)))
+
+
+def _known_sales(r: Retail) -> DataFrame:
+    return enrich.known_sales(r.sales(product=False), *_dimensions(r))
 
 
 def _customer_totals(r: Retail) -> DataFrame:
-    return marts.customer_month_total(r.sales(store=False, product=False))
+    return marts.customer_month_total(_known_sales(r))
 
 
 @query
@@ -161,19 +165,8 @@ def project_fact(r: Retail) -> DataFrame:
 
 @query
 def customer_rows(r: Retail) -> DataFrame:
-    sales = r.sales(product=False).alias("s")
-    customers = r.customers().alias("ct")
-    joined = sales.join(customers, F.col("s.customer_id") == F.col("ct.customer_id"))
-    return joined.select(
-        "ct.customer_id",
-        "ct.first_name",
-        "ct.last_name",
-        "ct.address",
-        "ct.pincode",
-        "phone_number",
-        "sales_date",
-        "total_cost",
-    )
+    sale = enrich.enrich(r.sales(product=False), *_dimensions(r)).alias("sale")
+    return enrich.customer_rows(sale)
 
 
 @query
@@ -454,12 +447,13 @@ def parquet_roundtrip(r: Retail) -> DataFrame:
 
 @query
 def partitioned_write_prune(r: Retail) -> DataFrame:
-    """All sales rows by month and store, read back per partition."""
+    """All sales rows by month and store; one month is read back by its partitions."""
     folder = scratch.folder(r.spark, "partitioned")
     rows = enrich.sales_rows(enrich.enrich(r.sales(product=False), *_dimensions(r)))
     parquet.overwrite_partitions(rows, folder, ["sales_month", "store_id"])
     back = r.spark.read.schema(rows.schema).parquet(folder)
-    return back.groupBy("sales_month", "store_id").agg(
+    month = back.where(F.col("sales_month") == READ_BACK_MONTH)
+    return month.groupBy("sales_month", "store_id").agg(
         F.count(F.lit(1)).alias("n_sales"), F.sum("total_cost").alias("total_sales")
     )
 

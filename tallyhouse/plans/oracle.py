@@ -57,12 +57,12 @@ enriched AS (
   JOIN staff p ON f.sales_person_id = p.id
 ),
 customer_totals AS (
-  SELECT customer_id, sales_month AS sales_date_month, sum(total_cost) AS total
-  FROM fact GROUP BY ALL
+  SELECT customer_id, month_start AS sales_date_month, sum(total_cost) AS total
+  FROM enriched GROUP BY ALL
 ),
 person_totals AS (
-  SELECT store_id, sales_person_id, sales_month, sum(total_cost) AS total
-  FROM fact GROUP BY ALL
+  SELECT store_id, sales_person_id, month_start AS sales_month, sum(total_cost) AS total
+  FROM enriched GROUP BY ALL
 )
 """
 
@@ -285,7 +285,7 @@ FROM enriched
     + """
 SELECT strftime(sales_date, '%Y-%m') AS sales_month, store_id, count(*) AS n_sales,
        CAST(sum(total_cost) AS DOUBLE) AS total_sales
-FROM enriched GROUP BY ALL
+FROM enriched WHERE strftime(sales_date, '%Y-%m') = '1995-03' GROUP BY ALL
 """,
     "total_cost_check": _VIEW
     + """

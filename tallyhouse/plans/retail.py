@@ -6,10 +6,8 @@ Each dimension is a projection of one table, so its size is known when a join is
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallyhouse.functions.calendar import month_start
 from tallyhouse.functions.money import money, unit_price
 from tallyhouse.functions.text import overflow
-from tallyhouse.operators.enrich import known_sales
 from tallyhouse.sources.dimensions import Dimensions
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -31,19 +29,15 @@ class Retail:
         self,
         store: bool = True,
         product: bool = True,
-        known_customers: bool = False,
         carry: tuple[str, ...] = (),
     ) -> DataFrame:
         """The sales fact, one row per line item of an order.
 
         Without ``store`` or ``product`` the supplier or part table is not joined; each
-        adds at most one match, so the rows stay the same. ``known_customers`` keeps sales
-        to existing customers only, and checks that on the orders, before their items
-        multiply them. ``carry`` names line item columns to keep beside the fact.
+        adds at most one match, so the rows stay the same. ``carry`` names line item columns
+        to keep beside the fact.
         """
         orders = self.table("orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
-        if known_customers:
-            orders = known_sales(orders, customers=self.customers())
         rows = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if product:
             parts = self.table("part").select("p_partkey", F.col("p_name").alias("product_name"))
@@ -65,19 +59,6 @@ class Retail:
             *carry,
         )
 
-    def seller_months(self, known_customers: bool = False) -> DataFrame:
-        """The sales summed per seller and month, dated at its first day.
-
-        A seller has one store, so the store is looked up for the sums instead of for
-        every sale, and a seller with very many sales is combined before the shuffle.
-        """
-        rows = self.sales(store=False, product=False, known_customers=known_customers)
-        month = month_start(F.col("sales_date")).alias("sales_date")
-        sums = rows.groupBy("sales_person_id", month).agg(F.sum("total_cost").alias("total_cost"))
-        return self._with_store(sums, "sales_person_id").select(
-            "store_id", "sales_person_id", "sales_date", "total_cost"
-        )
-
     def _with_store(self, rows: DataFrame, seller: str) -> DataFrame:
         sellers = self.table("supplier").select(
             "s_suppkey", F.col("s_nationkey").cast("bigint").alias("store_id")
