@@ -12,8 +12,9 @@ import os
 
 from pyspark.sql import SparkSession
 
-from tallyhouse.plans.monthly import monthly_load
+from tallyhouse.plans.monthly import DATASETS, monthly_load
 from tallyhouse.session import split_hot_keys
+from tallyhouse.sinks import parquet
 from tallyhouse.sources.dimensions import Dimensions
 from tallyhouse.sources.jdbc import Database
 from tallyhouse.streaming.ingest import ingest
@@ -44,20 +45,23 @@ def database_of(url: str) -> Database:
 
 
 def run(spark: SparkSession, chosen: argparse.Namespace) -> int:
-    """Takes in new files, then publishes everything landed so far; returns the epoch."""
+    """Takes in new files and publishes; returns the epoch. Without a new file nothing is written."""
     split_hot_keys(spark)
     database = database_of(chosen.jdbc_url) if chosen.jdbc_url else None
     if database:
         dimensions = Dimensions.from_database(spark, database)
     else:
         dimensions = Dimensions.from_parquet(spark, chosen.dimensions)
-    ingest(
+    batches = ingest(
         spark,
         chosen.landing,
         chosen.store,
         files_per_batch=chosen.files_per_batch,
         archive=chosen.archive,
     )
+    published = parquet.newest(spark, f"{chosen.out}/{DATASETS[-1]}")
+    if published is not None and not batches:
+        return published
     return monthly_load(spark, chosen.store, chosen.out, dimensions, database)
 
 

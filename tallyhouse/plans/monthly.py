@@ -13,6 +13,8 @@ from tallyhouse.streaming.ingest import accepted_sales
 CUSTOMER_MART_TABLE = "customers_data_mart"
 SALES_TEAM_MART_TABLE = "sales_team_data_mart"
 
+DATASETS = ["customer_rows", "customer_mart", "sales_rows", "sales_team_mart"]
+
 
 def monthly_load(
     spark: SparkSession,
@@ -23,6 +25,8 @@ def monthly_load(
 ) -> int:
     """Publishes customer rows, sales rows and both marts as one version; returns its epoch.
 
+    The four become visible together, after the last of them is written.
+
     Each row dataset joins only the columns it holds, and its mart is totalled from what was
     published, so no wide copy of the sales is written. With a ``database`` its two mart
     tables are replaced, so a rerun leaves no row twice.
@@ -31,16 +35,18 @@ def monthly_load(
     customers, stores, staff = dimensions.customers, dimensions.stores, dimensions.staff
     rows = enrich(accepted_sales(spark, store), customers, stores, staff)
 
-    epoch = parquet.publish(customer_rows(rows), f"{out}/customer_rows")
+    epoch = parquet.publish(customer_rows(rows), f"{out}/customer_rows", commit_now=False)
     spent = customer_mart(parquet.version(spark, f"{out}/customer_rows", epoch), customers)
-    parquet.publish(spent, f"{out}/customer_mart", ["sales_date_month"], epoch)
+    parquet.publish(spent, f"{out}/customer_mart", ["sales_date_month"], epoch, commit_now=False)
 
-    parquet.publish(sales_rows(rows), f"{out}/sales_rows", ["sales_month", "store_id"], epoch)
+    by_month_and_store = ["sales_month", "store_id"]
+    parquet.publish(sales_rows(rows), f"{out}/sales_rows", by_month_and_store, epoch, commit_now=False)
     published = parquet.version(spark, f"{out}/sales_rows", epoch).drop("sales_month")
     # Read from a folder name, the store is as narrow an integer as its values allow.
     published = published.withColumn("store_id", F.col("store_id").cast("bigint"))
     sold = sales_team_mart(published, None, stores, staff)
-    parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch)
+    parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch, commit_now=False)
+    parquet.commit(spark, out, DATASETS, epoch)
 
     if database:
         marts = f"{out}/customer_mart", f"{out}/sales_team_mart"

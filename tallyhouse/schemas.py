@@ -100,6 +100,7 @@ FILES = table(
     reason=TEXT,
     load_batch=LONG,
 )
+FINISHED = table(at=TIME, load_batch=LONG)
 LEDGER = table(file_name=TEXT, file_location=TEXT, status=TEXT, at=TIME, load_batch=LONG)
 LANDED = table(
     **CONTRACT_TYPES,
@@ -111,6 +112,14 @@ LANDED = table(
     outcome=TEXT,
     sales_month=TEXT,
 )
+SUMS = table(
+    customer_id=LONG,
+    store_id=LONG,
+    sales_person_id=LONG,
+    total_cost=TOTAL,
+    load_batch=LONG,
+    sales_month=TEXT,
+)
 
 CUSTOMER_MART = table(
     customer_id=LONG,

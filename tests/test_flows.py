@@ -10,7 +10,7 @@ from helpers import dimensions_of, explained, golden_sales, rows_of, sales_of
 from tallyhouse import scratch
 from tallyhouse.operators import marts, quality, synth
 from tallyhouse.plans import job
-from tallyhouse.plans.monthly import monthly_load
+from tallyhouse.plans.monthly import DATASETS, monthly_load
 from tallyhouse.schemas import CONTRACT
 from tallyhouse.sinks import parquet
 from tallyhouse.sources.dimensions import Dimensions
@@ -37,20 +37,64 @@ def test_marts_grow_with_each_drop(spark, tmp_path):
     columns = team.columns
     assert rows_of(refresh.read_sales_team_mart(spark, out), *columns) == rows_of(team)
 
-    months = refresh.touched_months(spark, store, 0)
+    months = refresh.touched_months(spark, out, 0)
     assert months == ["2023-03", "2023-04"]
-    refresh.refresh_marts(spark, store, out, months, Dimensions(*dimensions_of(spark)))
+    refresh.refresh_marts(spark, out, months, Dimensions(*dimensions_of(spark)))
     assert rows_of(refresh.read_sales_team_mart(spark, out), *columns) == rows_of(team)
 
 
-def test_a_refresh_reads_touched_months_only(spark, tmp_path):
-    landing, store = tmp_path / "landing", str(tmp_path / "store")
+def test_a_refresh_reads_sums_of_touched_months_only(spark, tmp_path, monkeypatch):
+    landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
     as_files(golden_sales(spark), landing)
-    ingest.ingest(spark, str(landing), store)
-    april = ingest.accepted_sales(spark, store).where(F.col("sales_month").isin(["2023-04"]))
+    dimensions = Dimensions(*dimensions_of(spark))
+    ingest.ingest(spark, str(landing), store, after_batch=refresh.keep_marts(out, dimensions))
+    april = refresh.batch_sums(spark, out).where(F.col("sales_month").isin(["2023-04"]))
     assert april.count() == 1
     filters = next(x for x in explained(april).splitlines() if "PartitionFilters" in x)
-    assert "2023-04" in filters and "accepted" in filters
+    assert "2023-04" in filters
+    monkeypatch.setattr(refresh, "accepted_sales", None)  # sales are not read again
+    refresh.refresh_marts(spark, out, ["2023-03", "2023-04"], dimensions)
+    assert refresh.read_sales_team_mart(spark, out).count() == 6
+
+
+def test_undated_sales_and_lost_dimension_rows(spark, tmp_path):
+    """The kept marts equal the monthly load, with a NULL month and a month that empties."""
+    landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
+    customers, stores, staff = dimensions_of(spark)
+    undated = sales_of(spark, [(1, 121, None, 1, "7.00"), (3, 122, date(2023, 6, 1), 4, "5.00")])
+    as_files(golden_sales(spark).unionByName(undated), landing / "a")
+    whole = Dimensions(customers, stores, staff)
+    ingest.ingest(spark, str(landing), store, after_batch=refresh.keep_marts(out, whole))
+    fewer = Dimensions(customers.where("customer_id <> 3"), stores, staff)
+    months = refresh.touched_months(spark, out, 0)
+    assert months == ["2023-03", "2023-04", "2023-06", None]
+    refresh.refresh_marts(spark, out, months, fewer)
+    monthly_load(spark, store, f"{out}/load", fewer)
+    for name, read in (
+        ("customer_mart", refresh.read_customer_mart),
+        ("sales_team_mart", refresh.read_sales_team_mart),
+    ):
+        published = parquet.latest(spark, f"{out}/load/{name}")
+        assert rows_of(read(spark, out), *published.columns) == rows_of(published)
+    assert refresh.read_customer_mart(spark, out).where("sales_date_month IS NULL").count() == 1
+
+
+def test_a_crash_between_publishes_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
+    as_files(golden_sales(spark), landing)
+    ingest.ingest(spark, str(landing), store)
+    dimensions = Dimensions(*dimensions_of(spark))
+    first = monthly_load(spark, store, out, dimensions)
+
+    def broken(*rows):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("tallyhouse.plans.monthly.sales_rows", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        monthly_load(spark, store, out, dimensions)
+    assert {parquet.newest(spark, f"{out}/{name}") for name in DATASETS} == {first}
+    with pytest.raises(FileNotFoundError):
+        parquet.latest(spark, f"{out}/unknown")
 
 
 def test_monthly_load_publishes_rows_and_marts(spark, tmp_path):
@@ -145,9 +189,9 @@ def test_the_job_lands_and_publishes(spark, tmp_path):
     as_files(golden_sales(spark), tmp_path / "landing")
     words = ["--landing", "landing", "--store", "store", "--out", "out", "--dimensions", "dims"]
     chosen = job.options([w if w.startswith("--") else str(tmp_path / w) for w in words])
-    job.run(spark, chosen)
+    epoch = job.run(spark, chosen)
     first = rows_of(parquet.latest(spark, f"{chosen.out}/sales_team_mart"))
-    job.run(spark, chosen)
+    assert job.run(spark, chosen) == epoch  # no new file, nothing written
     assert rows_of(parquet.latest(spark, f"{chosen.out}/sales_team_mart")) == first
     assert len(first) == 6
     with pytest.raises(SystemExit):
