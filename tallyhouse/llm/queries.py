@@ -138,3 +138,70 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
     return ann_tree.search(vectors, F.col("vec_id") % 100 == 0)
+
+
+def _quality_sql(risk: float = 0.05, error: float = 0.05, least_catch: float = 0.1) -> str:
+    """Thresholds as in ``quality``: every cutoff is tested, per language and over all tests."""
+    tests = [(rule, cutoff) for rule in quality.RULES for cutoff in rule.cutoffs]
+    share = risk / len(quality.RULES)
+    grid = ", ".join(f"('{rule.name}', {cutoff})" for rule, cutoff in tests)
+    ratios = "\n".join(
+        f"WHEN '{r.name}' THEN CASE WHEN {r.denominator} > 0 THEN {r.numerator} / {r.denominator} ELSE 0 END"
+        for r in quality.RULES
+    )
+    return rf"""
+WITH worded AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i:i+2] AS win
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM worded)
+), repeats AS (
+  SELECT doc_id, count(DISTINCT pos) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS c FROM windows) WHERE c > 1
+  ) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, lang, len(w) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM worded LEFT JOIN repeats USING (doc_id)
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+), grid(rule, cutoff) AS (VALUES {grid}
+), scored AS (
+  SELECT doc_id, lang, base_failed, rule, cutoff, CASE rule {ratios} END AS ratio FROM based, grid
+), tested AS (
+  SELECT lang, rule, cutoff, count(*) FILTER (quality = 1) AS n,
+         count(*) FILTER (quality = 1 AND ratio >= cutoff) AS k,
+         count(*) FILTER (quality = 0) AS n_bad,
+         count(*) FILTER (quality = 0 AND ratio >= cutoff) AS caught
+  FROM scored JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1) GROUP BY ALL
+), tails AS (
+  SELECT *, CASE WHEN n = 0 THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda j: exp(
+      lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share}) + (n - j) * ln(1 - {share})))) END AS p
+  FROM tested
+), admitted AS (
+  SELECT * FROM tails
+  WHERE p <= {error} / ({len(tests)} * (SELECT count(DISTINCT coalesce(lang, '')) FROM tested))
+    AND caught > 0 AND caught >= {least_catch} * n_bad
+), chosen AS (
+  SELECT lang, rule, cutoff FROM admitted
+  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY caught DESC, cutoff DESC) = 1
+), rejected AS (
+  SELECT DISTINCT s.doc_id FROM scored s
+  JOIN chosen c ON s.rule = c.rule AND s.cutoff = c.cutoff AND s.lang IS NOT DISTINCT FROM c.lang
+  WHERE s.ratio >= c.cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM based
+"""
+
+
+ORACLES["op9_quality_rules"] = _quality_sql()

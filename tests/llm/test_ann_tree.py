@@ -1,0 +1,57 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import ann_tree
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def _brute(ids, points, query, k):
+    d = np.sqrt(((points - points[ids == query][0]) ** 2).sum(axis=1))
+    order = np.lexsort((ids, d))
+    return [(int(ids[i]), float(d[i])) for i in order if ids[i] != query][:k]
+
+
+def test_recall_and_scores(spark, monkeypatch):
+    monkeypatch.setattr(ann_tree, "BLOCK", 64)
+    monkeypatch.setattr(ann_tree, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, 16)) * 4
+    points = (centres[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 16))).astype(np.float32)
+    points[:700] = points[0] + rng.normal(size=(700, 16)).astype(np.float32) * 0.01
+    rows = [(i, p.tolist(), 0) for i, p in enumerate(points)]
+    found = ann_tree.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 40 == 0).collect()
+    ids, hits = np.arange(2000), 0
+    answers = {}
+    for row in found:
+        answers.setdefault(row.query_id, []).append(row)
+    for query in range(0, 2000, 40):
+        truth = dict(_brute(ids, points.astype(float), query, 10))
+        own = sorted(answers[query], key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, 11))
+        assert [(r.score, r.vec_id) for r in own] == sorted((r.score, r.vec_id) for r in own)
+        hits += sum(r.vec_id in truth for r in own)
+        for r in own:
+            assert r.vec_id not in truth or r.score == pytest.approx(truth[r.vec_id], abs=1e-12)
+    assert hits / 500 >= 0.9
+
+
+def test_equal_vectors_and_odd_rows(spark):
+    rows = [(i, [1.0, 0.0], 0) for i in range(0, 600, 20)]
+    rows += [(i, [1.0, 0.0], 0) for i in range(0, 600, 20)]
+    rows += [(1, [0.0, 0.0], 0), (2, None, 0), (3, [1.0, None], 0), (5, [float("nan"), 1.0], 0)]
+    rows += [(7, [float("inf"), 1.0], 0), (None, [2.0, 1.0], 0), (9, [1.0, 2.0, 3.0], 0), (11, [2.0, 0.0], 0)]
+    found = ann_tree.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 100 == 0).collect()
+    for query in range(0, 600, 100):
+        own = sorted((r for r in found if r.query_id == query), key=lambda r: r["rank"])
+        assert [r.vec_id for r in own] == [i for i in range(0, 240, 20) if i != query][:10]
+        assert {r.score for r in own} == {0.0}
+
+
+def test_few_and_no_rows(spark):
+    few = spark.createDataFrame([(0, [1.0, 0.0], 0), (4, [3.0, 0.0], 0), (2, [0.0, 1.0], 0)], VECTORS)
+    found = ann_tree.search(few, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["rank"], r.vec_id, r.score) for r in found] == [(1, 2, 2**0.5), (2, 4, 2.0)]
+    assert ann_tree.search(few, F.col("vec_id") == 99).count() == 0
+    assert ann_tree.search(spark.createDataFrame([], VECTORS), F.lit(True)).count() == 0

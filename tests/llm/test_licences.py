@@ -1,0 +1,45 @@
+from tallyhouse.llm import licences
+
+MIT = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+
+
+def _found(documents, text):
+    return licences.scan(documents([(1, text)])).first().licences
+
+
+def test_notices(documents):
+    assert _found(documents, MIT) == ["MIT"]
+    assert _found(documents, "Bla.\nReleased under the MIT License.\nBla") == ["MIT"]
+    assert _found(documents, "bla. Licensed under the Apache License, Version 2.0. Bla.") == ["Apache-2.0"]
+    assert _found(documents, "Licensed under the Apache License, Version 1.1.") == []
+    assert _found(documents, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY 4.0.") == ["CC-BY-NC-4.0", "CC-BY-4.0"]
+    assert _found(documents, "this licence is mine") == []
+
+
+def test_special_rules_use_their_sentences_up(documents):
+    grant = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+    source = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+    binary = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
+    endorse = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    assert _found(documents, grant + source + binary) == ["BSD-2-Clause"]
+    assert _found(documents, grant + source + binary + "between.\n" + endorse) == ["BSD-3-Clause"]
+    assert _found(documents, grant + binary + source) == []
+
+
+def test_odd_rows(documents):
+    rows = [(1, None), (2, ""), (3, "MIT License"), (3, "MIT License"), (None, "x " * 50_000 + "\nMIT License\n" * 3)]
+    found = licences.scan(documents(rows)).orderBy("doc_id").collect()
+    assert [r.licences for r in found] == [["MIT"], [], [], ["MIT"], ["MIT"]]
+    assert found[0].licence_sentences == ["mit-name"] * 3
+    assert licences.scan(documents([])).count() == 0
+    assert licences.scan(documents([(1, "x")]).withColumnRenamed("source", "licences")).first().licences == []

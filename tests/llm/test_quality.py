@@ -1,0 +1,95 @@
+import re
+from collections import Counter
+from math import comb
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import quality
+
+
+def _counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {j + k for j in range(len(words) - 2) if windows[tuple(words[j : j + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+TEXTS = [None, "", " \n\x0b", "a b c", "a b c a b c", "a a a a", "a b c d\na b c d\n\n \na b c d ", "é#* x | <>", "x y z " * 5000, "$" * 100_000]
+
+
+@settings(deadline=None, max_examples=5)
+@given(st.lists(st.text(alphabet="ab é#\n\t ", max_size=60), min_size=30, max_size=30))
+def test_counts(spark, texts):
+    texts = TEXTS + texts
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = quality.with_counts(rows).orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in quality.COUNTS) for r in found] == [_counts(t) for t in texts]
+
+
+def test_cut_hashes_that_clash(spark, monkeypatch):
+    """With eight bits left of a hash nearly all documents take the exact way."""
+    monkeypatch.setattr(quality, "_MASK", (1 << 56) - 1)
+    texts = ["a b c d e f g a b c " * 3 + " ".join(f"w{i % 90}" for i in range(400)), "p q r s p q r " * 9]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = quality.with_counts(rows).orderBy("doc_id").collect()
+    assert [r.n_repeat_words for r in found] == [_counts(t)[4] for t in texts]
+
+
+def test_binomial_tail(spark):
+    rows = [(k, n) for n in (0, 1, 7, 300, 1500) for k in {0, n // 100, n // 50, n // 10} if k <= n]
+    df = spark.createDataFrame(rows, "k long, n long").withColumn("p", quality.binomial_tail(F.col("k"), F.col("n"), 0.02))
+    for row in df.collect():
+        exact = sum(comb(row.n, j) * 0.02**j * 0.98 ** (row.n - j) for j in range(row.k + 1))
+        assert row.p == pytest.approx(min(exact, 1.0), rel=1e-9)
+
+
+def _table(spark, n, lang, good_symbols, bad_symbols, offset=0):
+    """Half good and half bad, by id."""
+    rows = []
+    for i in range(n):
+        symbols = bad_symbols if i % 2 else good_symbols(i)
+        rows.append((offset + i, " ".join(f"w{j}" for j in range(100)) + "#" * symbols, lang))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_thresholds_hold_per_stratum(spark):
+    clear = _table(spark, 3000, "en", lambda i: 0, 40)
+    mixed = _table(spark, 3000, "de", lambda i: 40 if i % 20 == 0 else 0, 40, 10_000)  # a tenth of the good
+    few = _table(spark, 60, None, lambda i: 0, 40, 20_000)
+    docs = clear.unionByName(mixed).unionByName(few)
+    labels = docs.select("doc_id", (1 - F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    labels = labels.unionByName(spark.createDataFrame([(None, 1, 0), (77_777, 0, 0), (3, None, 0)], labels.schema))
+    judged = quality.judge(docs, labels)
+    rejected = {r.lang: r.n for r in judged.groupBy("lang").agg(F.count_if(~F.col("kept")).alias("n")).collect()}
+    assert rejected == {"en": 1500, "de": 0, None: 0}
+    lenient = judged.where("lang = 'en' AND n_symbols < 40 AND NOT kept")
+    assert lenient.count() == 0
+
+
+def test_the_most_lenient_of_equal_cutoffs(spark):
+    docs = _table(spark, 3000, "en", lambda i: 0, 60)
+    counted = quality.with_counts(docs).withColumn("quality", (1 - F.col("doc_id") % 2).cast("int"))
+    row = quality.thresholds(counted, "lang").first()
+    assert (row.symbols_per_word, row.repeated_lines, row.repeated_words) == (0.5, None, None)
+
+
+def test_odd_tables(spark, documents):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs = documents([(1, None), (1, None), (None, "w " * 60)]).withColumnRenamed("source", "kept").withColumnRenamed("n_chars", "quality")
+    found = quality.judge(docs, none).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.base_failed, r.kept) for r in found] == [(None, True, False), (1, True, False), (1, True, False)]
+    assert quality.judge(documents([]), none).count() == 0
+    fine = documents([(None, " ".join(map(str, range(60))))])
+    assert quality.judge(fine, none).first().kept
+
+
+def test_the_plan_is_native(documents, spark):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = quality.judge(documents([(1, "x")]), labels)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    assert "Python" not in quality.with_counts(documents([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
