@@ -84,11 +84,11 @@ def with_rules(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def _entropy(text: Column) -> Column:
     """In bits per character."""
-    n = F.length(text)
+    n = F.greatest(F.length(text), F.lit(1))
     zero = F.lit(0.0)
 
     def add(total: Column, c: Column) -> Column:
-        share = (n - F.length(F.replace(text, c, F.lit("")))) / n
+        share = (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / n
         return total - F.when(share > 0, share * F.log2(share)).otherwise(zero)
 
     return F.aggregate(F.array_distinct(F.split(text, "")), zero, add)

@@ -25,7 +25,7 @@ def test_lengths_of_data_bytes():
     assert len(data) == 10
 
 
-@settings(deadline=None, max_examples=300)
+@settings(deadline=None, max_examples=150)
 @given(st.text(alphabet=SPACES + "ab'sé.,1²\u0301<|>endoftext\U0001f600", max_size=60))
 def test_pieces_encode_as_the_whole(text):
     encoder = token_files.Encoder.of(PATH)

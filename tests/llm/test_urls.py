@@ -27,6 +27,7 @@ def test_parts_and_rules(spark, url, host, path, rule):
 def test_held_out_accuracy(spark):
     """Spam has many digits and parameters; a fifth of the labels is held out."""
     rows = [(i, f"http://s{i % 7}.example.org/{i * 7919}{i * 104729}?a=1&b=2&c=3", 1) for i in range(400)]
+    rows += [(5000, None, 1), (5001, "", 0)]
     rows += [(1000 + i, f"http://www.site{i % 9}.com/about/people/page", 0) for i in range(400)]
     pages = spark.createDataFrame(rows, "page_id long, url string, label int")
     held_out = F.pmod(F.xxhash64("url"), F.lit(5)) == 0
