@@ -6,6 +6,7 @@ Each query runs once to warm up; its median counts. Queries that write files run
 
 import json
 import os
+import re
 import statistics
 import sys
 import time
@@ -17,28 +18,24 @@ DATA = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
-COMPUTE = [
-    "salesperson_incentive",
-    "customer_month_mart",
-    "salesperson_month_total",
-    "salesperson_rank",
-    "top_performer",
-    "customer_spend_trend",
-    "customer_spend_segment",
-    "window_sum_customer",
-    "window_sum_salesperson",
-    "distinct_rows",
-    "join_customer",
-    "join_product",
-    "enrich_sales",
-    "orphan_sales",
-    "quarantine_rows",
-    "total_cost_check",
-    "ledger_latest_state",
-    "schema_missing_columns",
-    "synth_sales",
+FILES = [
+    "csv_typed_scan",
+    "json_typed_scan",
+    "parquet_roundtrip",
+    "header_signature",
+    "incremental_ingest",
+    "cumulative_mart",
+    "versioned_publish",
+    "landing_inventory",
+    "partitioned_write_prune",
 ]
-FILES = ["csv_typed_scan", "json_typed_scan", "parquet_roundtrip", "header_signature", "incremental_ingest"]
+COMPUTE = [name for name in QUERIES if name not in FILES]
+
+
+def peak_mb(spark):
+    """The largest resident memory of the driver's JVM so far."""
+    status = open(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/status").read()
+    return int(re.search(r"VmHWM:\s+(\d+)", status)[1]) // 1024
 
 
 def seconds(spark, name):
@@ -50,12 +47,14 @@ def seconds(spark, name):
 def main():
     chosen = sys.argv[1:]
     spark = local_session(CPUS, "tallyhouse-bench")
-    timings = {}
+    timings, memory = {}, {}
     for name in chosen or COMPUTE:
         seconds(spark, name)
         timings[name] = round(statistics.median(seconds(spark, name) for _ in range(RUNS)), 3)
+        memory[name] = peak_mb(spark)
     for name in [] if chosen else FILES:
         timings[name] = round(seconds(spark, name), 3)
+        memory[name] = peak_mb(spark)
     print(
         json.dumps(
             {
@@ -63,6 +62,7 @@ def main():
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "peak_mb": memory,
                 "sf": os.path.basename(DATA.rstrip("/")).removeprefix("sf"),
                 "cpus": CPUS,
                 "runs": RUNS,

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import plan_of
+from helpers import explained, plan_of
 from tallyhouse.operators import enrich, marts
 from tallyhouse.operators.windows import with_group_sum
 from tallyhouse.plans.catalog import QUERIES
@@ -72,6 +72,24 @@ def test_ranks_and_segments_scan_the_facts_once(spark):
         assert "l_orderkey" not in plan_of(QUERIES[name](spark, DATA)), name
 
 
+def test_group_sums_compute_their_rows_once(spark):
+    for name in ("window_sum_customer", "window_sum_salesperson"):
+        plan = plan_of(QUERIES[name](spark, DATA))
+        assert "l_orderkey" not in plan, name
+        assert len(re.findall("FileScan", plan)) == 2, name  # of the kept rows
+
+
+def test_customer_rows_check_every_key(spark):
+    plan = plan_of(QUERIES["customer_rows"](spark, DATA))
+    assert all(f"{key}#" in plan for key in ("n_nationkey", "s_suppkey", "c_custkey"))
+
+
+def test_one_month_is_read_back_by_its_partitions(spark):
+    plan = explained(QUERIES["partitioned_write_prune"](spark, DATA))
+    filters = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "sales_month" in filters and "1995-03" in filters
+
+
 def test_contract_checks_need_no_shuffle(spark):
     for name in ("schema_missing_columns", "schema_extra_columns", "split_by_extension"):
         assert "Exchange" not in plan_of(QUERIES[name](spark, DATA)), name
