@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from tallyhouse.llm.components import components
@@ -196,9 +196,9 @@ def keep_one(docs: DataFrame, max_bits: int = 4) -> DataFrame:
 
     Rows without an id stay; so do all columns of ``docs``.
     """
-    found = keep(near_duplicates(docs, max_bits).select("doc_id", "component_id"), "near")
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    several = found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    one_each = kept.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(several, "doc_id", "left_anti").unionByName(one_each)
+    found = near_duplicates(docs, max_bits).where(F.col("doc_id") == F.col("component_id"))
+    chosen = found.select("doc_id").distinct().hint("merge")  # as many as there are components
+    named = docs.where(F.col("doc_id").isNotNull()).join(chosen, "doc_id", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
+    one_each = named.withColumn("_nth", nth).where(F.col("_nth") == 1).select(*docs.columns)
+    return one_each.unionByName(docs.where(F.col("doc_id").isNull()))
