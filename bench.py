@@ -16,7 +16,7 @@ from tallyhouse.session import local_session
 
 DATA = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 FILES = [
     "csv_typed_scan",
