@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyhouse.scratch import folder
 
-MOST_CACHED = 600_000
+MOST_CACHED = 1_000_000
 TOKENS_PER_BLOCK = 1 << 19
 _BLOCK = (
     "shard long, block long, doc_ids array<long>, counts array<long>, control binary, data binary"
