@@ -8,6 +8,7 @@ execution splits a hot key of the sales side.
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.calendar import month_label
+from tallyhouse.schemas import TOTAL
 
 
 def staff_as_seller(staff: DataFrame) -> DataFrame:
@@ -65,6 +66,29 @@ def enrich(
     return join_customer(join_salesperson(join_store(rows, stores), staff), customers)
 
 
+#: What ``with_known_keys`` adds, one flag per dimension.
+KNOWN = ["known_store", "known_seller", "known_customer"]
+
+
+def with_known_keys(
+    sales: DataFrame, customers: DataFrame, stores: DataFrame, staff: DataFrame
+) -> DataFrame:
+    """``sales`` with a flag for each dimension that has its key; no sale drops out."""
+    keys = (stores, "id", "store_id"), (staff, "id", "sales_person_id"), (customers, "customer_id", "customer_id")
+    for flag, (dimension, key, column) in zip(KNOWN, keys):
+        known = dimension.select(F.col(key).alias(column), F.lit(True).alias(flag))
+        sales = sales.join(known, column, "left")
+    return sales.withColumns({flag: F.col(flag).isNotNull() for flag in KNOWN})
+
+
+def dropped_sales(checked: DataFrame) -> DataFrame:
+    """How many sales an inner join with all dimensions loses, by what they lack, and their total."""
+    lacking = ~(F.col(KNOWN[0]) & F.col(KNOWN[1]) & F.col(KNOWN[2]))
+    return checked.where(lacking).groupBy(*KNOWN).agg(
+        F.count(F.lit(1)).alias("n_sales"), F.sum("total_cost").cast(TOTAL).alias("total_cost")
+    )
+
+
 def known_sales(
     sales: DataFrame,
     customers: DataFrame | None = None,
@@ -101,7 +125,8 @@ def customer_rows(enriched: DataFrame) -> DataFrame:
     )
 
 
-def sales_rows(enriched: DataFrame) -> DataFrame:
+def sales_rows(enriched: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """``more``: columns to keep beside the fixed ones."""
     return enriched.select(
         "store_id",
         "sales_person_id",
@@ -115,4 +140,5 @@ def sales_rows(enriched: DataFrame) -> DataFrame:
         "sales_date",
         "total_cost",
         month_label(F.col("sales_date")).alias("sales_month"),
+        *(more or []),
     )

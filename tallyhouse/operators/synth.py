@@ -32,8 +32,11 @@ PAYMENT_MODES = ["cash", "UPI"]
 
 
 def draw(key: Column, factor: int, shift: int, choices: int) -> Column:
-    """A number from 0 up to ``choices`` - 1 that depends on the key alone."""
-    return ((key % 1000003) * factor + shift) % 999983 % choices
+    """A number from 0 up to ``choices`` - 1 that depends on the key alone.
+
+    Two remainders by different primes repeat together only after about 10**12 keys.
+    """
+    return ((key % 1000003) * factor + (key % 1000033) * (shift + 1)) % 999983 % choices
 
 
 def _pick(values: list, place: Column) -> Column:

@@ -15,8 +15,8 @@ from pyspark.sql import SparkSession
 from tallyhouse.plans.monthly import DATASETS, monthly_load
 from tallyhouse.session import split_hot_keys
 from tallyhouse.sinks import parquet
-from tallyhouse.sources.dimensions import Dimensions
-from tallyhouse.sources.jdbc import Database
+from tallyhouse.sources.dimensions import CUSTOMER_SPLIT, CUSTOMER_TABLE, Dimensions
+from tallyhouse.sources.jdbc import Database, split_by
 from tallyhouse.streaming.ingest import ingest
 
 PROPERTIES = {
@@ -33,6 +33,10 @@ def options(words: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="folder of the published datasets")
     parser.add_argument("--archive", help="folder that loaded files are moved to")
     parser.add_argument("--files-per-batch", type=int, default=1000)
+    parser.add_argument("--products", action="store_true", help="join products in the sales rows")
+    column, parts = CUSTOMER_SPLIT
+    parser.add_argument("--split-column", default=column, help="column the customer table is cut by")
+    parser.add_argument("--split-parts", type=int, default=parts, help="tasks that read that table")
     tables = parser.add_mutually_exclusive_group(required=True)
     tables.add_argument("--dimensions", help="folder of the dimension tables in Parquet")
     tables.add_argument("--jdbc-url", help="database of the dimensions and the marts")
@@ -49,9 +53,10 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> int:
     split_hot_keys(spark)
     database = database_of(chosen.jdbc_url) if chosen.jdbc_url else None
     if database:
-        dimensions = Dimensions.from_database(spark, database)
+        cut = split_by(spark, database, CUSTOMER_TABLE, chosen.split_column, chosen.split_parts)
+        dimensions = Dimensions.from_database(spark, database, {CUSTOMER_TABLE: cut}, chosen.products)
     else:
-        dimensions = Dimensions.from_parquet(spark, chosen.dimensions)
+        dimensions = Dimensions.from_parquet(spark, chosen.dimensions, chosen.products)
     batches = ingest(
         spark,
         chosen.landing,

@@ -2,8 +2,19 @@
 
 from pyspark.sql import SparkSession, functions as F
 
-from tallyhouse.operators.enrich import customer_rows, enrich, sales_rows
+from tallyhouse.operators.enrich import (
+    KNOWN,
+    customer_rows,
+    dropped_sales,
+    join_customer,
+    join_product,
+    join_salesperson,
+    join_store,
+    sales_rows,
+    with_known_keys,
+)
 from tallyhouse.operators.marts import customer_mart, sales_team_mart
+from tallyhouse.scratch import delete, keep, recorded
 from tallyhouse.sinks import jdbc, parquet
 from tallyhouse.sources.dimensions import Dimensions
 from tallyhouse.sources.jdbc import Database
@@ -13,7 +24,9 @@ from tallyhouse.streaming.ingest import accepted_sales
 CUSTOMER_MART_TABLE = "customers_data_mart"
 SALES_TEAM_MART_TABLE = "sales_team_data_mart"
 
-DATASETS = ["customer_rows", "customer_mart", "sales_rows", "sales_team_mart"]
+DATASETS = ["dropped_sales", "customer_rows", "customer_mart", "sales_rows", "sales_team_mart"]
+KEYS = ["customer_id", "store_id", "sales_person_id"]
+PRODUCT_COLUMNS = ["product_name", "product_id", "current_price"]
 
 
 def monthly_load(
@@ -23,33 +36,53 @@ def monthly_load(
     dimensions: Dimensions,
     database: Database | None = None,
 ) -> int:
-    """Publishes customer rows, sales rows and both marts as one version; returns its epoch.
+    """Publishes customer rows, sales rows, both marts and a report as one version.
 
-    The four become visible together, after the last of them is written.
+    They become visible together, after the last of them is written; the epoch is returned.
 
-    Each row dataset joins only the columns it holds, and its mart is totalled from what was
-    published, so no wide copy of the sales is written. With a ``database`` its two mart
-    tables are replaced, so a rerun leaves no row twice.
+    The sales are read once: their keys are checked into a narrow kept table, from which the report
+    of dropped sales counts what a dimension lacks, and to which each row dataset joins only the
+    columns it holds. Marts are totalled from what was published. Products, if the dimensions have
+    them, are joined to the sales rows. With a ``database`` its two mart tables are replaced, so a
+    rerun leaves no row twice.
     """
     dimensions.require_unique_keys()
+    with recorded() as scratch:
+        epoch = _published(spark, store, out, dimensions)
+    delete(spark, scratch)
+
+    if database:
+        marts = f"{out}/customer_mart", f"{out}/sales_team_mart"
+        for base, table in zip(marts, (CUSTOMER_MART_TABLE, SALES_TEAM_MART_TABLE)):
+            jdbc.replace(parquet.version(spark, base, epoch), database, table)
+    return epoch
+
+
+def _published(spark: SparkSession, store: str, out: str, dimensions: Dimensions) -> int:
     customers, stores, staff = dimensions.customers, dimensions.stores, dimensions.staff
-    rows = enrich(accepted_sales(spark, store), customers, stores, staff)
+    products = dimensions.products
+    named = [] if products is None else ["product_name"]
+    sales = accepted_sales(spark, store).select(*KEYS, "sales_date", "total_cost", *named)
+    checked = keep(with_known_keys(sales, customers, stores, staff), "checked-sales")
+    known = checked.where(" AND ".join(KNOWN)).drop(*KNOWN)
 
-    epoch = parquet.publish(customer_rows(rows), f"{out}/customer_rows", commit_now=False)
+    epoch = parquet.publish(dropped_sales(checked), f"{out}/dropped_sales", commit_now=False)
+    bought = customer_rows(join_customer(known, customers))
+    parquet.publish(bought, f"{out}/customer_rows", None, epoch, commit_now=False)
     spent = customer_mart(parquet.version(spark, f"{out}/customer_rows", epoch), customers)
     parquet.publish(spent, f"{out}/customer_mart", ["sales_date_month"], epoch, commit_now=False)
 
+    rows = join_salesperson(join_store(known, stores), staff)
+    if products is None:
+        rows = sales_rows(rows)
+    else:
+        rows = sales_rows(join_product(rows, products), PRODUCT_COLUMNS)
     by_month_and_store = ["sales_month", "store_id"]
-    parquet.publish(sales_rows(rows), f"{out}/sales_rows", by_month_and_store, epoch, commit_now=False)
+    parquet.publish(rows, f"{out}/sales_rows", by_month_and_store, epoch, commit_now=False)
     published = parquet.version(spark, f"{out}/sales_rows", epoch).drop("sales_month")
     # Read from a folder name, the store is as narrow an integer as its values allow.
     published = published.withColumn("store_id", F.col("store_id").cast("bigint"))
     sold = sales_team_mart(published, None, stores, staff)
     parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch, commit_now=False)
     parquet.commit(spark, out, DATASETS, epoch)
-
-    if database:
-        marts = f"{out}/customer_mart", f"{out}/sales_team_mart"
-        for base, table in zip(marts, (CUSTOMER_MART_TABLE, SALES_TEAM_MART_TABLE)):
-            jdbc.replace(parquet.version(spark, base, epoch), database, table)
     return epoch

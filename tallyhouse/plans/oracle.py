@@ -117,7 +117,7 @@ required AS (SELECT unnest({_listed(CONTRACT)}) AS name)
 
 
 def _draw(factor: int, shift: int, choices: int) -> str:
-    return f"(((k % 1000003) * {factor} + {shift}) % 999983 % {choices})"
+    return f"(((k % 1000003) * {factor} + (k % 1000033) * {shift + 1}) % 999983 % {choices})"
 
 
 def _synth() -> str:

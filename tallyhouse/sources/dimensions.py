@@ -1,4 +1,4 @@
-"""The three dimensions of a sale."""
+"""The dimensions of a sale: customer, store and staff, and the product on request."""
 
 from dataclasses import dataclass
 
@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse import scratch
 from tallyhouse.operators.quality import require_unique
-from tallyhouse.schemas import CUSTOMER, SALES_TEAM, STORE
-from tallyhouse.sources.jdbc import Database, Split, scan
+from tallyhouse.schemas import CUSTOMER, PRODUCT, SALES_TEAM, STORE
+from tallyhouse.sources.jdbc import Database, Split, scan, split_by
 
 # The names of the dimension tables.
 CUSTOMER_TABLE = "customer"
@@ -15,33 +15,43 @@ STORE_TABLE = "store"
 STAFF_TABLE = "sales_team"
 PRODUCT_TABLE = "product"
 
+#: The customers' key and into how many parts their table is cut unless the caller says otherwise.
+CUSTOMER_SPLIT = ("customer_id", 16)
+
 
 @dataclass(frozen=True)
 class Dimensions:
     customers: DataFrame
     stores: DataFrame
     staff: DataFrame
+    products: DataFrame | None = None
 
     @classmethod
     def from_database(
-        cls, spark: SparkSession, database: Database, splits: dict[str, Split] | None = None
+        cls,
+        spark: SparkSession,
+        database: Database,
+        splits: dict[str, Split] | None = None,
+        products: bool = False,
     ) -> "Dimensions":
         """Each table is read once and kept: a kept table has a known size, a JDBC one has not.
 
-        ``splits`` says by table name how a large table is cut, so that several tasks read it.
+        ``splits`` says by table name how a large table is cut, so that several tasks read it. The
+        customers' is always cut, between the bounds the database tells if none are given.
         """
-        cut = splits or {}
+        cut = dict(splits or {})
+        if CUSTOMER_TABLE not in cut:
+            cut[CUSTOMER_TABLE] = split_by(spark, database, CUSTOMER_TABLE, *CUSTOMER_SPLIT)
+        tables = [CUSTOMER_TABLE, STORE_TABLE, STAFF_TABLE] + [PRODUCT_TABLE] * products
         return cls(
-            *[
-                scratch.keep(scan(spark, database, table, cut.get(table)), table)
-                for table in (CUSTOMER_TABLE, STORE_TABLE, STAFF_TABLE)
-            ]
+            *[scratch.keep(scan(spark, database, table, cut.get(table)), table) for table in tables]
         )
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, folder: str) -> "Dimensions":
+    def from_parquet(cls, spark: SparkSession, folder: str, products: bool = False) -> "Dimensions":
         """Tables below ``folder`` under the same names as in the database."""
-        tables = ((CUSTOMER_TABLE, CUSTOMER), (STORE_TABLE, STORE), (STAFF_TABLE, SALES_TEAM))
+        tables = [(CUSTOMER_TABLE, CUSTOMER), (STORE_TABLE, STORE), (STAFF_TABLE, SALES_TEAM)]
+        tables += [(PRODUCT_TABLE, PRODUCT)] * products
         return cls(
             *[spark.read.schema(schema).parquet(f"{folder}/{table}") for table, schema in tables]
         )

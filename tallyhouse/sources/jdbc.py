@@ -23,6 +23,13 @@ class Split:
     parts: int
 
 
+def split_by(spark: SparkSession, database: Database, table: str, column: str, parts: int) -> Split:
+    """Cuts a table between the least and the largest value of ``column``, which the database finds."""
+    bounds = f"(SELECT min({column}) AS least, max({column}) AS most FROM {table}) AS bounds"
+    found = spark.read.jdbc(database.url, bounds, properties=database.properties).first()
+    return Split(column, found["least"] or 0, found["most"] or 0, parts)
+
+
 def scan(
     spark: SparkSession, database: Database, table: str, split: Split | None = None
 ) -> DataFrame:

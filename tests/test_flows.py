@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from helpers import dimensions_of, explained, golden_sales, rows_of, sales_of
 from tallyhouse import scratch
 from tallyhouse.operators import marts, quality, synth
+from tallyhouse.operators.enrich import KNOWN
 from tallyhouse.plans import job
 from tallyhouse.plans.monthly import DATASETS, monthly_load
 from tallyhouse.schemas import CONTRACT
@@ -115,6 +116,31 @@ def test_monthly_load_publishes_rows_and_marts(spark, tmp_path):
     assert rows_of(published, *spent.columns) == rows_of(spent)
 
 
+def test_dropped_sales_are_reported_and_products_joined(spark, tmp_path):
+    landing, store, out = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "out")
+    as_files(golden_sales(spark), landing)
+    ingest.ingest(spark, str(landing), store)
+    names = [(1, "sugar", Decimal("50.00")), (2, "sugar", Decimal("51.00"))]
+    products = spark.createDataFrame(names, "id long, name string, current_price decimal(10,2)")
+    monthly_load(spark, store, out, Dimensions(*dimensions_of(spark), products))
+    report = parquet.latest(spark, f"{out}/dropped_sales")
+    assert rows_of(report, *KNOWN, "n_sales", "total_cost") == [
+        (False, True, True, 1, Decimal("7.00")),
+        (True, True, False, 1, Decimal("500.00")),
+    ]
+    rows = parquet.latest(spark, f"{out}/sales_rows")
+    assert rows.count() == 7
+    assert rows_of(rows.select("product_name", "product_id", "current_price").distinct()) == [
+        ("sugar", 1, Decimal("50.00"))
+    ]
+
+
+def test_generated_sales_go_on_beyond_a_million(spark):
+    keys = spark.range(200).union(spark.range(1000003, 1000203)).withColumnRenamed("id", "k")
+    drawn = synth.synthesize(keys, "k").drop("k", "payment_mode")
+    assert drawn.distinct().count() > 390
+
+
 def test_monthly_load_refuses_repeated_keys(spark, tmp_path):
     customers, stores, staff = dimensions_of(spark)
     twice = Dimensions(customers, stores.union(stores), staff)

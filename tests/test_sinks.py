@@ -11,7 +11,7 @@ from helpers import explained, golden_sales, rows_of
 from tallyhouse.functions.calendar import month_label
 from tallyhouse.sinks import jdbc as jdbc_sink
 from tallyhouse.sinks import parquet
-from tallyhouse.sources import jdbc, typed
+from tallyhouse.sources import dimensions, jdbc, typed
 from tallyhouse.schemas import FACT, MONEY
 
 
@@ -101,6 +101,30 @@ def test_jdbc_scan_asks_for_split_reads():
     ]
 
 
+def test_jdbc_bounds_come_from_the_database():
+    asked = []
+
+    def read(url, table, properties):
+        asked.append(table)
+        return SimpleNamespace(first=lambda: {"least": 5, "most": 900})
+
+    session = SimpleNamespace(read=SimpleNamespace(jdbc=read))
+    cut = jdbc.split_by(session, DATABASE, "customer", "customer_id", 16)
+    assert cut == jdbc.Split("customer_id", 5, 900, 16)
+    assert asked == ["(SELECT min(customer_id) AS least, max(customer_id) AS most FROM customer) AS bounds"]
+
+
+@pytest.mark.parametrize("products", [False, True])
+def test_the_customer_table_is_always_read_in_parts(monkeypatch, products):
+    read = {}
+    monkeypatch.setattr(dimensions, "split_by", lambda *given: jdbc.Split(given[3], 1, 9, given[4]))
+    monkeypatch.setattr(dimensions, "scan", lambda _, __, table, cut: read.setdefault(table, cut))
+    monkeypatch.setattr(dimensions.scratch, "keep", lambda frame, table: frame)
+    found = dimensions.Dimensions.from_database(None, DATABASE, products=products)
+    assert found.customers == jdbc.Split("customer_id", 1, 9, 16)
+    assert ("product" in read) == products
+
+
 @pytest.mark.parametrize("save, mode", [(jdbc_sink.append, "append"), (jdbc_sink.replace, "overwrite")])
 def test_jdbc_write_rounds_money_and_raises(spark, monkeypatch, save, mode):
     written = {}
