@@ -1,5 +1,7 @@
 """The monthly load: accepted sales to row-level datasets and marts."""
 
+from hashlib import sha256
+
 from pyspark.sql import SparkSession, functions as F
 
 from tallyhouse.operators.enrich import (
@@ -18,7 +20,7 @@ from tallyhouse.scratch import delete, keep, recorded
 from tallyhouse.sinks import jdbc, parquet
 from tallyhouse.sources.dimensions import Dimensions
 from tallyhouse.sources.jdbc import Database
-from tallyhouse.streaming.ingest import accepted_sales
+from tallyhouse.streaming.ingest import accepted_sales, next_batch
 
 # The names of the mart tables in the database.
 CUSTOMER_MART_TABLE = "customers_data_mart"
@@ -47,18 +49,56 @@ def monthly_load(
     rerun leaves no row twice.
     """
     dimensions.require_unique_keys()
+    source = source_of(spark, store, dimensions)  # before the sales are read: never says too much
     with recorded() as scratch:
-        epoch = _published(spark, store, out, dimensions)
+        epoch = _published(spark, store, out, dimensions, source)
     delete(spark, scratch)
-
     if database:
-        marts = f"{out}/customer_mart", f"{out}/sales_team_mart"
-        for base, table in zip(marts, (CUSTOMER_MART_TABLE, SALES_TEAM_MART_TABLE)):
-            jdbc.replace(parquet.version(spark, base, epoch), database, table)
+        fill(spark, out, epoch, database)
+    return epoch
+
+
+def catch_up(
+    spark: SparkSession,
+    store: str,
+    out: str,
+    dimensions: Dimensions,
+    database: Database | None = None,
+) -> int:
+    """What of ``monthly_load`` is still to do; returns the epoch of the newest version.
+
+    A version is current if it was made from all finished batches and from the dimension rows as
+    they are; the database is, if both of its tables were filled from that version.
+    """
+    epoch, source = parquet.newest_and_source(spark, f"{out}/{DATASETS[-1]}")
+    if epoch is None or source != source_of(spark, store, dimensions):
+        return monthly_load(spark, store, out, dimensions, database)
+    if database and parquet.newest(spark, f"{out}/{_filled(database)}") != epoch:
+        fill(spark, out, epoch, database)
     return epoch
 
 
-def _published(spark: SparkSession, store: str, out: str, dimensions: Dimensions) -> int:
+def source_of(spark: SparkSession, store: str, dimensions: Dimensions) -> str:
+    """What a version made now holds: the batches before the next one, and the dimension rows."""
+    return f"{next_batch(spark, store)} {dimensions.digest()}"
+
+
+def fill(spark: SparkSession, out: str, epoch: int, database: Database) -> None:
+    """Replaces both mart tables, and notes in the manifest that both are done."""
+    marts = f"{out}/customer_mart", f"{out}/sales_team_mart"
+    for base, table in zip(marts, (CUSTOMER_MART_TABLE, SALES_TEAM_MART_TABLE)):
+        jdbc.replace(parquet.version(spark, base, epoch), database, table)
+    parquet.commit(spark, out, [_filled(database)], epoch)
+
+
+def _filled(database: Database) -> str:
+    """The manifest's name for the tables of one database; its address may hold a password."""
+    return f"database-{sha256(database.url.encode()).hexdigest()[:16]}"
+
+
+def _published(
+    spark: SparkSession, store: str, out: str, dimensions: Dimensions, source: str
+) -> int:
     customers, stores, staff = dimensions.customers, dimensions.stores, dimensions.staff
     products = dimensions.products
     named = [] if products is None else ["product_name"]
@@ -84,5 +124,5 @@ def _published(spark: SparkSession, store: str, out: str, dimensions: Dimensions
     published = published.withColumn("store_id", F.col("store_id").cast("bigint"))
     sold = sales_team_mart(published, None, stores, staff)
     parquet.publish(sold, f"{out}/sales_team_mart", ["sales_month"], epoch, commit_now=False)
-    parquet.commit(spark, out, DATASETS, epoch)
+    parquet.commit(spark, out, DATASETS, epoch, source)
     return epoch

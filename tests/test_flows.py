@@ -222,3 +222,68 @@ def test_the_job_lands_and_publishes(spark, tmp_path):
     assert len(first) == 6
     with pytest.raises(SystemExit):
         job.options(["--landing", "x"])
+
+
+def _job(spark, tmp_path, tables):
+    """A job's options, with its dimensions and its landed golden sales written."""
+    for name, table in zip(("customer", "store", "sales_team"), dimensions_of(spark)):
+        table.write.parquet(str(tmp_path / "dims" / name))
+    as_files(golden_sales(spark), tmp_path / "landing" / "a")
+    words = ["--landing", "landing", "--store", "store", "--out", "out"]
+    return job.options([w if w.startswith("--") else str(tmp_path / w) for w in words] + tables)
+
+
+def _broken(*arguments):
+    raise RuntimeError("lost")
+
+
+def test_batches_landed_before_a_crash_are_published_by_the_next_run(spark, tmp_path, monkeypatch):
+    chosen = _job(spark, tmp_path, ["--dimensions", str(tmp_path / "dims")])
+    first = job.run(spark, chosen)
+    as_files(sales_of(spark, [(2, 121, date(2023, 5, 2), 2, "9.00")]), tmp_path / "landing" / "b")
+    with monkeypatch.context() as patched:
+        patched.setattr("tallyhouse.plans.monthly.parquet.commit", _broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            job.run(spark, chosen)
+    assert parquet.newest(spark, f"{chosen.out}/sales_rows") == first
+    second = job.run(spark, chosen)  # no new file, yet a batch that no version holds
+    assert second > first
+    assert parquet.latest(spark, f"{chosen.out}/sales_rows").count() == 8
+    assert job.run(spark, chosen) == second
+
+
+def test_changed_dimension_rows_are_published_without_a_new_file(spark, tmp_path):
+    chosen = _job(spark, tmp_path, ["--dimensions", str(tmp_path / "dims")])
+    first = job.run(spark, chosen)
+    stores = dimensions_of(spark)[1].where("id <> 122").localCheckpoint()
+    stores.write.mode("overwrite").parquet(str(tmp_path / "dims" / "store"))
+    second = job.run(spark, chosen)
+    assert second > first and job.run(spark, chosen) == second
+    assert parquet.latest(spark, f"{chosen.out}/sales_rows").where("store_id = 122").count() == 0
+
+
+@pytest.mark.parametrize("fails_at", [1, 2])
+def test_a_table_left_half_filled_is_filled_by_the_next_run(spark, tmp_path, monkeypatch, fails_at):
+    """The calls made to Spark's JDBC writer are replaced; there is no database."""
+    chosen = _job(spark, tmp_path, ["--jdbc-url", "jdbc:none"])
+    monkeypatch.setattr(job, "split_by", lambda *a: None)
+    dimensions = Dimensions(*dimensions_of(spark))
+    monkeypatch.setattr(job.Dimensions, "from_database", lambda *a: dimensions)
+    tables, calls = {}, []
+
+    def replace(df, database, table):
+        calls.append(table)
+        tables[table] = None
+        if len(calls) == fails_at:
+            raise RuntimeError("lost")
+        tables[table] = df.count()
+
+    monkeypatch.setattr("tallyhouse.plans.monthly.jdbc.replace", replace)
+    with pytest.raises(RuntimeError, match="lost"):
+        job.run(spark, chosen)
+    published = parquet.newest(spark, f"{chosen.out}/sales_rows")
+    assert job.run(spark, chosen) == published  # the version is whole, only the tables are filled
+    marts = [parquet.latest(spark, f"{chosen.out}/{m}").count() for m in ("customer_mart", "sales_team_mart")]
+    assert list(tables.values()) == marts
+    n = len(calls)
+    assert job.run(spark, chosen) == published and len(calls) == n
