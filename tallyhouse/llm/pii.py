@@ -1,9 +1,12 @@
 """Format-preserving pseudonyms for personal data, by a keyed Feistel permutation.
 
 Found and validated: e-mail addresses, IPv4 addresses (octets up to 255), payment cards (12 to
-19 digits with a valid check digit), IBANs (valid modulo 97), US social security numbers (areas,
-groups and serials in use), ISO dates that exist, and telephone numbers (an international or a
-bracketed North American form). Each is replaced by another valid value of its own format:
+19 digits with a valid check digit), IBANs (valid modulo 97; of their country's length, or of any
+if the country or the length is another), US social security numbers (areas, groups and serials in
+use), dates that exist, and telephone numbers (an international or a North American form, with
+brackets or without). Dates are ISO dates, year, month, day with other marks, and day and month in
+either order before a year of four digits, with slashes also of two, with full stops of two if day
+and month have two digits. Each is replaced by another valid value of its own format:
 separators stay, the digits of a kind are permuted within the numbers that are valid for it,
 and check digits are computed anew. The permutation depends on the key alone, so equal values
 have equal pseudonyms in all documents, different ones stay different, and the holder of the key
@@ -11,15 +14,20 @@ can turn them back (``revert=True``).
 
 Permutation: a value is a pair (left, right) below (a, b), where a * b counts the valid values.
 Each of ten rounds adds a keyed hash of one half to the other, modulo its bound. Dates are days
-of a 400-year cycle, which has 189 * 773 days whatever its start. What a permutation must leave
+of a 400-year cycle, which has 189 * 773 days whatever its start; years of two digits count as one
+century of 75 * 487 days. Where the form allows only some days (one digit; a day that could be a
+month), the permutation is applied until it gives such a day. What a permutation must leave
 as it is (the country code, the mail domain, an IBAN's country) is also hashed into the rounds.
 
 Everything is DataFrame functions; documents without a digit or @ are passed on at once.
 
 Defined cases: NULL stays NULL and empty stays empty; what fails validation stays as it is;
-dates before 1800 or after 2199 stay; other columns and repeated rows are untouched.
+dates before 1800 or after 2199 and dates with a month's name stay; North American numbers with
+spaces alone count if area and office begin with 2 to 9; other columns and repeated rows are untouched.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
@@ -27,16 +35,49 @@ _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.
 _IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 _DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-_IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
+#: Countries by the length of their IBANs.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}(?!\w)"
+
+
+_IBAN = (
+    rf"(?<!\w)(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(_iban_of(*item) for item in _IBAN_LENGTHS.items())}"
+    r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
+)
 _PHONE = (
     r"(?<![\w+])\+(?:1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
     r"|\d{1,3}(?:[ .-](?:\(\d{1,4}\)|\d{1,4})){2,5}(?!\w|\.\d)|\d{8,15}(?!\w))"
 )
 _LOCAL = r"(?<![\w(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\w)"
+_BARE = (
+    r"(?<![\w+])(?<!\d[-.])(?:1[-. ])?"
+    r"(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|[2-9]\d{2} [2-9]\d{2}[ -]\d{4})(?!\w|[-.]\d)"
+)
+_DAY = (
+    r"(?<!\w)(?<!\d[-./])(?:\d{4}(?:-\d{1,2}-|\.\d{1,2}\.|/\d{1,2}/)\d{1,2}"
+    r"|\d{1,2}(?:-\d{1,2}-|\.\d{1,2}\.|/\d{1,2}/)\d{4}|\d{1,2}/\d{1,2}/\d{2}|\d{2}\.\d{2}\.\d{2})"
+    r"(?:(?=T\d{2}:)|(?!\w|[-./]\d))"
+)
 _CARD = r"(?<![\w-])(?:\d{12,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w)"
-FOUND = "|".join([_EMAIL, _IPV4, _DATE, _SSN, _IBAN, _PHONE, _LOCAL, _CARD])
+FOUND = "|".join([_EMAIL, _IPV4, _DATE, _SSN, _IBAN, _PHONE, _LOCAL, _BARE, _CARD, _DAY])
 _FIRST_DAY = "1800-01-01"
 _CYCLE = (189, 773)
+_FIRST_OF_CENTURY = "2000-01-01"
+_CENTURY = (75, 487)
+#: Of all days one in five at least is allowed, so that a walk this long ends but once in 10^19.
+_LONGEST_WALK = 200
 
 
 def _whole(pattern: str) -> str:
@@ -117,7 +158,8 @@ class Feistel:
 
 
 def _power(n: Column, base: int = 10) -> Column:
-    return F.element_at(F.array(*[F.lit(base**k).cast("long") for k in range(13)]), n + 1)
+    powers = range(17 if base == 10 else 13)
+    return F.element_at(F.array(*[F.lit(base**k).cast("long") for k in powers]), n + 1)
 
 
 def _from_letters(word: Column) -> Column:
@@ -133,6 +175,11 @@ def _to_letters(number: Column, n: Column) -> Column:
     return F.when(n > 0, F.array_join(F.transform(places, letter), "")).otherwise("")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _only_digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
@@ -190,6 +237,68 @@ def _date(f: Feistel, value: Column) -> Column:
     return F.when(known, F.date_format(moved, "yyyy-MM-dd"))
 
 
+def _day(f: Feistel, value: Column) -> Column:
+    """Fields keep their length; a day that could be a month becomes another such one."""
+    one, two, three = (F.get(F.split(value, "[-./]"), i) for i in range(3))
+    year_first = F.length(one) == 4
+    first, second = F.when(year_first, two).otherwise(one), F.when(year_first, three).otherwise(two)
+    day_first = ~year_first & (first.cast("int") > 12)
+    fields = F.struct(
+        year_first.alias("year_first"),
+        day_first.alias("day_first"),
+        ((first.cast("int") <= 12) & (second.cast("int") <= 12)).alias("either"),
+        F.when(year_first, one).otherwise(three).alias("year"),
+        F.when(day_first, second).otherwise(first).alias("month"),
+        F.when(day_first, first).otherwise(second).alias("day"),
+    )
+
+    def known(x: Column) -> Column:
+        full = F.length(x["year"]) == 4
+        start = F.when(full, F.lit(_FIRST_DAY)).otherwise(F.lit(_FIRST_OF_CENTURY)).cast("date")
+        year = F.when(full, x["year"]).otherwise(F.concat(F.lit("20"), x["year"]))
+        said = F.concat_ws("-", year, F.lpad(x["month"], 2, "0"), F.lpad(x["day"], 2, "0"))
+        return F.struct(
+            x["year_first"].alias("year_first"),
+            x["day_first"].alias("day_first"),
+            x["either"].alias("either"),
+            F.length(x["year"]).alias("year"),
+            F.length(x["month"]).alias("month"),
+            F.length(x["day"]).alias("day"),
+            start.alias("start"),
+            F.when(full, _CYCLE[0]).otherwise(_CENTURY[0]).cast("long").alias("a"),
+            F.when(full, _CYCLE[1]).otherwise(_CENTURY[1]).cast("long").alias("b"),
+            F.datediff(F.try_to_date(said, "yyyy-MM-dd"), start).cast("long").alias("n"),
+        )
+
+    def walked(x: Column) -> Column:
+        def once(n: Column) -> Column:
+            left, right = F.floor(n / x["b"]).cast("long"), n % x["b"]
+            pair = f.permuted(left, right, x["a"], x["b"], F.lit("date"))
+            return _let(pair, lambda moved: moved["l"] * x["b"] + moved["r"])
+
+        def fits(n: Column) -> Column:
+            date = F.date_add(x["start"], n.cast("int"))
+            short = ((x["day"] == 2) | (F.dayofmonth(date) < 10)) & ((x["month"] == 2) | (F.month(date) < 10))
+            return short & (x["year_first"] | ((F.dayofmonth(date) <= 12) == x["either"]))
+
+        steps = F.sequence(F.lit(1), F.lit(_LONGEST_WALK))
+        moved = F.aggregate(steps, once(x["n"]), lambda n, _: F.when(fits(n), n).otherwise(once(n)))
+        return _let(F.date_add(x["start"], moved.cast("int")), lambda date: written(x, date))
+
+    def written(x: Column, date: Column) -> Column:
+        year = F.right(F.date_format(date, "yyyy"), x["year"])
+        day = F.lpad(F.dayofmonth(date).cast("string"), x["day"], "0")
+        month = F.lpad(F.month(date).cast("string"), x["month"], "0")
+        digits = F.when(x["year_first"], F.concat(year, month, day))
+        return digits.when(x["day_first"], F.concat(day, month, year)).otherwise(F.concat(month, day, year))
+
+    def moved(x: Column) -> Column:
+        return F.when((x["n"] >= 0) & (x["n"] < x["a"] * x["b"]), walked(x))
+
+    digits = _let(fields, lambda x: _let(known(x), moved))
+    return _let(digits, lambda d: F.when(d.isNotNull(), _filled(value, d)))
+
+
 def _ssn(f: Feistel, value: Column) -> Column:
     """Areas 001 to 899 but 666, groups from 01, serials from 0001."""
     area, group, serial = (F.split_part(value, F.lit("-"), F.lit(i)).cast("long") for i in (1, 2, 3))
@@ -221,31 +330,41 @@ def _iban(f: Feistel, value: Column) -> Column:
     country = plain.substr(1, 2)
     valid = _mod97(F.concat(bban, plain.substr(1, 4))) == 1
     digits = _only_digits(bban)
-    low = digits.substr(F.lit(1), F.lit(24))
-    moved = F.concat(
-        F.when(F.length(low) > 0, f.digits(low, F.concat(F.lit("iban"), country))).otherwise(""),
-        digits.substr(F.lit(25), F.length(digits)),
-    )
+    moved = F.when(F.length(digits) > 0, f.digits(digits, F.concat(F.lit("iban"), country))).otherwise("")
     filled = _filled(bban, moved)
     check = 98 - _mod97(F.concat(filled, country, F.lit("00")))
     return F.when(valid, _filled(value, F.concat(F.lpad(check.cast("string"), 2, "0"), moved)))
 
 
 def _phone(f: Feistel, value: Column) -> Column:
-    """All digits behind a country code; a North American number keeps to areas from 200 on."""
+    """All digits behind a country code.
+
+    A North American number keeps to areas and offices from 200 on, or to the others if it is of those.
+    """
     code = F.regexp_extract(value, r"^\+(\d{1,3})(?=[ .(-])", 1)
+    code = F.when(value.rlike("^1[-. ]"), F.lit("1")).otherwise(code)
     code = F.when(value.startswith("+") & (code == ""), value.substr(2, 2)).otherwise(code)
     digits = _only_digits(value)
     rest = digits.substr(F.length(code) + 1, F.length(digits))
     tweak = F.concat(F.lit("phone"), code)
     area, office, line = (rest.substr(i, n).cast("long") for i, n in ((1, 3), (4, 3), (7, 4)))
-    american = code.isin("", "1") & (F.length(rest) == 10) & (area >= 200) & (office >= 200)
-    number = ((area - 200) * 800 + office - 200) * 10000 + line
-    number = f.value(number, 80000, 80000, tweak)
-    office = F.floor(number / 10000) % 800 + 200
-    area = F.floor(number / 8000000) + 200
-    moved = F.concat(area.cast("string"), office.cast("string"), F.lpad((number % 10000).cast("string"), 4, "0"))
-    return _filled(value, F.concat(code, F.when(american, moved).otherwise(f.digits(rest, tweak))))
+    # The 640,000 prefixes in the plan, and the others: 200 areas below 200, then 800 of 200 offices.
+    planned = (area >= 200) & (office >= 200)
+    dense = F.when(planned, (area - 200) * 800 + office - 200).when(area < 200, area * 1000 + office)
+    dense = dense.otherwise(200000 + (area - 200) * 200 + office) * 10000 + line
+    side = F.when(planned, 80000).otherwise(60000).cast("long")
+    pair = f.permuted(F.floor(dense / side).cast("long"), dense % side, side, side, tweak)
+
+    def plan_digits(moved: Column) -> Column:
+        nth, last = F.floor(moved["n"] / 10000), moved["n"] % 10000
+        prefix = F.when(moved["planned"], (F.floor(nth / 800) + 200) * 1000 + nth % 800 + 200)
+        prefix = prefix.when(nth < 200000, nth).otherwise((F.floor(nth / 200) - 800) * 1000 + nth % 200)
+        return F.concat(F.lpad(prefix.cast("string"), 6, "0"), F.lpad(last.cast("string"), 4, "0"))
+
+    number = _let(pair, lambda moved: moved["l"] * side + moved["r"])
+    american = _let(F.struct(number.alias("n"), planned.alias("planned")), plan_digits)
+    is_american = code.isin("", "1") & (F.length(rest) == 10)
+    return _filled(value, F.concat(code, F.when(is_american, american).otherwise(f.digits(rest, tweak))))
 
 
 def _email(f: Feistel, value: Column) -> Column:
@@ -275,6 +394,8 @@ _KINDS = [
     (_CARD, _card),
     (_PHONE, _phone),
     (_LOCAL, _phone),
+    (_BARE, _phone),
+    (_DAY, _day),
 ]
 
 
