@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm import (
     ann_tree,
+    chunked_bpe,
     licences,
     line_dedup,
     mixing,
@@ -122,6 +123,7 @@ def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 @query
@@ -134,6 +136,14 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+@query
+def op11_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return chunked_bpe.digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 @query
 def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
