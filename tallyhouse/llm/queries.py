@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse.llm import (
     ann_tree,
     chunked_bpe,
+    hard_negatives,
     licences,
     line_dedup,
     mixing,
@@ -16,8 +17,10 @@ from tallyhouse.llm import (
     simhash,
     token_files,
     urls,
+    vector_codes,
 )
 from tallyhouse.llm.words import n_words
+from tallyhouse.operators.windows import with_group_sum
 from tallyhouse.scratch import folder as scratch_folder, keep
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +153,94 @@ def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return ann_tree.search(vectors, F.col("vec_id") % 100 == 0)
 
 
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """``label_error`` is the error summed over the rows of the same label."""
+    codes = vector_codes.compress(_table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+    with_label = with_group_sum(codes.rows, ["label"], "error", "label_error").drop("label")
+    return with_label.withColumn("codebooks_sha256", F.lit(codes.digest()))
+
+
+def _codes_sql(n_parts: int = 8, n_entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every round evaluates every entry for every part."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, label, m, any_value(p) AS p, min(d * {n_entries} + k) AS near FROM (
+    SELECT parts.*, k, CAST(list_dot_product(parts.p, parts.p) - 2 * list_dot_product(parts.p, e.p)
+                            + list_dot_product(e.p, e.p) AS HUGEINT) AS d
+    FROM parts JOIN e{r} e USING (m)
+  ) GROUP BY vec_id, label, m
+)""")
+        if r < rounds:
+            steps.append(f"""
+e{r + 1} AS MATERIALIZED (
+  SELECT e.m, e.k, coalesce(n.p, e.p) AS p FROM e{r} e LEFT JOIN (
+    SELECT m, k, list(c ORDER BY i) AS p FROM (
+      SELECT m, near % {n_entries} AS k, i, floor(sum(p[i]) / count(*)) AS c
+      FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM a{r}) GROUP BY ALL
+    ) GROUP BY m, k
+  ) n ON e.m = n.m AND e.k = n.k
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, m, v[m * (len(v) // {n_parts}) + 1:(m + 1) * (len(v) // {n_parts})] AS p
+  FROM kept, (SELECT unnest(range({n_parts})) AS m)
+), e0 AS MATERIALIZED (
+  SELECT m, row_number() OVER (PARTITION BY m ORDER BY vec_id) - 1 AS k, p FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {n_entries})
+), {",".join(steps)}, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', CAST(near % {n_entries} AS INT)), '' ORDER BY m) AS code,
+         CAST(sum(near // {n_entries}) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(p[i] AS BIGINT) AS VARCHAR), ',' ORDER BY m, k, i)) AS codebooks_sha256
+  FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM e{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, books
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, n.vec_id AS negative_id,
+       positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+
 def _quality_sql(risk: float = 0.05, error: float = 0.05, least_catch: float = 0.1) -> str:
     """Thresholds as in ``quality``: every cutoff is tested, per language and over all tests."""
     tests = [(rule, cutoff) for rule in quality.RULES for cutoff in rule.cutoffs]
