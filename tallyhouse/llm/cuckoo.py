@@ -1,7 +1,7 @@
 """One shard of a cuckoo filter: 16-bit marks, four to a bucket, two buckets for a key.
 
-Keys are 16 hashed bytes. A mark and its first bucket come from different bytes of the key;
-the second bucket is the first one XOR a hash of the mark, so that an entry can be moved or
+Keys are 16 hashed bytes. A mark (bytes 2 and 3) and its first bucket (bytes 8 and up) come from
+different bytes of the key, and the first two are left to whoever deals keys out to shards; the second bucket is the first one XOR a hash of the mark, so that an entry can be moved or
 deleted knowing nothing but its mark.
 """
 
@@ -24,7 +24,7 @@ def buckets_for(n_keys: int) -> int:
 def _split(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Marks (never 0, which is an empty slot) and first buckets of 16-byte keys."""
     halves = keys.view("<u8").reshape(-1, 2)
-    marks = (halves[:, 0] & np.uint64(0xFFFF)).astype(np.int64)
+    marks = (halves[:, 0] >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.int64)
     return np.where(marks == 0, 1, marks), (halves[:, 1] & np.uint64(n_buckets - 1)).astype(np.int64)
 
 

@@ -14,8 +14,9 @@ A key is the MD5 of a line stripped of white space and with A-Z lower-cased; lin
 ``min_chars`` code points have none. Lines of repeated keys are dropped from all documents but
 the one with the largest id. To find them, references are first held against the filters, which
 passes nearly nothing but repeated keys, and what passes is looked up in the exact counts, so a
-false positive costs a lookup and never a line. Filters are sent to all tasks only up to
-``MOST_FILTER_BYTES`` in total; beyond that the exact lookup takes all references.
+false positive costs a lookup and never a line. Filters of ``MOST_FILTER_BYTES`` at most in total are
+sent to all tasks; beyond that references go to the filter of their shard, a shard's references spread
+over several tasks, and stream past it.
 
 Each batch ends with its filters. One that was lost on the way is written again under the same
 number, and readers see complete batches only.
@@ -122,6 +123,28 @@ def _passing(shards: dict[int, bytes], n_shards: int):
     return of_batches
 
 
+_TO_SHARD = "shard int, salt int, place int, key binary, doc_id long, cells binary"
+
+
+def _past_their_filter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by shard and salt, a filter before the references that it is to judge."""
+    at, held = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shards, salts = batch.column("shard").to_numpy(), batch.column("salt").to_numpy()
+        turns = np.flatnonzero((np.diff(shards) != 0) | (np.diff(salts) != 0)) + 1
+        for run in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows], strict=True):
+            part = batch.slice(run[0], run[1] - run[0])
+            if (shards[run[0]], salts[run[0]]) != at:
+                at, held = (shards[run[0]], salts[run[0]]), None
+            if part.column("place")[0].as_py() == 0:
+                held, part = Shard.from_bytes(part.column("cells")[0].as_py()), part.slice(1)
+            if part.num_rows and held is not None:
+                passes = held.contains(_as_keys(part.column("key").to_pylist()))
+                yield part.select(["key", "doc_id"]).filter(pa.array(passes))
+
+
 class LineStore:
     def __init__(self, spark: SparkSession, path: str, min_docs: int = 5, min_chars: int = 40):
         self.spark, self.path = spark, path
@@ -235,10 +258,26 @@ class LineStore:
         if size["n"] is None:
             return refs.limit(0)
         if size["n"] > MOST_FILTER_BYTES:
-            return refs
+            return self._sent_to_filters(refs, filters, size["shards"])
         cells = {row["shard"]: bytes(row["cells"]) for row in filters.select("shard", "cells").collect()}
         return refs.mapInArrow(_passing(cells, size["shards"]), "key binary, doc_id long")
 
+    def _sent_to_filters(self, refs: DataFrame, filters: DataFrame, n_shards: int) -> DataFrame:
+        """``refs`` that pass; a key with very many references is judged in several tasks."""
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(4, -(-2 * tasks // n_shards))
+        salt = F.pmod(F.xxhash64("key", "doc_id"), F.lit(salts)).cast("int").alias("salt")
+        names = [c.split()[0] for c in _TO_SHARD.split(", ")]
+        judged = self._sharded(refs.select("key", "doc_id"), n_shards).select(
+            "shard", salt, F.lit(1).alias("place"), "key", "doc_id", F.lit(None).cast("binary").alias("cells")
+        )
+        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+        nothing = F.lit(None).cast("binary").alias("key"), F.lit(None).cast("long").alias("doc_id")
+        cells = filters.select("shard", every, F.lit(0).alias("place"), *nothing, "cells")
+        both = cells.select(*names).unionByName(judged.select(*names)).repartition("shard", "salt")
+        ordered = both.sortWithinPartitions("shard", "salt", "place")
+        return ordered.mapInArrow(_past_their_filter, "key binary, doc_id long")
+
     def dropped(self) -> DataFrame:
         """``(doc_id, key)`` of all lines that must go."""
         log = self._log("refs", f"{_REFS}, batch int")

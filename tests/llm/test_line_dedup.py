@@ -28,6 +28,21 @@ def test_filter_insertion_and_deletion():
     assert shard.contains(keys).all()
 
 
+def test_marks_do_not_repeat_the_shard():
+    """With 4,096 shards the keys of one share their first bytes; false positives stay rare."""
+    keys = _keys(400_000)
+    number = (keys[:, 0].astype(int) * 256 + keys[:, 1]) % 4096
+    others = _keys(400_000, "other")
+    elsewhere = (others[:, 0].astype(int) * 256 + others[:, 1]) % 4096
+    wrong = tried = 0
+    for shard in range(0, 4096, 64):
+        filled = cuckoo.Shard.empty((number == shard).sum())
+        filled.insert(keys[number == shard])
+        passed = filled.contains(others[elsewhere == shard])
+        wrong, tried = wrong + passed.sum(), tried + len(passed)
+    assert tried > 5000 and wrong / tried < 0.001
+
+
 def test_a_full_filter_says_so():
     with pytest.raises(cuckoo.Full):
         cuckoo.Shard.empty(1).insert(_keys(200))
