@@ -5,11 +5,12 @@ rule's, and the longest fitting rule wins. URLs without one are judged by gradie
 trained from labelled URLs. Features: length, depth, share of digits, entropy of the characters,
 number of parameters, and statistics of the host's suffix (its last two labels) over all
 labelled URLs: how many there are, and what share is blocked, smoothed towards the overall
-share. For a URL used in training its own label is left out of that share.
+share. For a URL used in training its own copies are left out of that share.
 
-Trees are fitted on at most ``most_training`` labelled URLs, the smallest by hash, so that each
-is as likely; the statistics and verdicts cover all. Without labels of both kinds everything
-without a rule gets the one label there is, or ``allow``.
+Trees are fitted on at most ``most_training`` different labelled URLs, up to half of them of each
+label and of each the smallest by hash, so that each is as likely; a URL weighs as much as it has
+copies. The statistics and verdicts cover all. Without labels of both kinds everything without a rule
+gets the one label there is, or ``allow``.
 
 Everything is DataFrame functions and Spark's own classifier.
 
@@ -111,12 +112,13 @@ def _lexical(pages: DataFrame) -> DataFrame:
     )
 
 
-def _with_suffixes(rows: DataFrame, suffixes: DataFrame, overall: float, own: Column) -> DataFrame:
-    """``own``: the row's label if it is among those the statistics count, else NULL."""
+def _with_suffixes(
+    rows: DataFrame, suffixes: DataFrame, overall: float, own: Column, own_blocked: Column
+) -> DataFrame:
+    """``own``: how many of the labels that the statistics count are the row's, ``own_blocked`` of these."""
     joined = rows.join(suffixes, "_suffix", "left")
-    counted = F.when(own.isNotNull(), 1).otherwise(0)
-    n = F.coalesce("_n", F.lit(0)) - counted
-    blocked = F.coalesce("_blocked", F.lit(0)) - F.coalesce(own, F.lit(0))
+    n = F.coalesce("_n", F.lit(0)) - own
+    blocked = F.coalesce("_blocked", F.lit(0)) - own_blocked
     return joined.withColumns(
         {
             "_suffix_count": F.log1p(n.cast("double")),
@@ -125,30 +127,44 @@ def _with_suffixes(rows: DataFrame, suffixes: DataFrame, overall: float, own: Co
     )
 
 
+def _copies(labelled: DataFrame) -> DataFrame:
+    """Each different URL and label once, with its host, path and suffix and how many copies there are."""
+    one = [F.first(c).alias(c) for c in ("host", "path")]
+    copies = F.count(F.lit(1)).alias("_copies")
+    rows = labelled.groupBy("url", "label").agg(*one, copies)
+    return rows.withColumn("_suffix", F.substring_index("host", ".", -2))
+
+
 class UrlModel:
     """Suffix statistics of all labelled URLs and trees fitted on a bounded sample."""
 
     def __init__(self, labelled: DataFrame, most_training: int = 20_000, trees: int = 20, depth: int = 4):
         """``labelled``: ``url``, ``host``, ``path`` and ``label``, 1 for block and 0 for allow."""
-        rows = keep(_lexical(labelled.where(F.col("label").isin(0, 1))), "labelled-urls")
+        rows = keep(_copies(labelled.where(F.col("label").isin(0, 1))), "labelled-urls")
+        blocked = F.sum(F.col("label") * F.col("_copies")).alias("_blocked")
         self.suffixes = keep(
-            rows.groupBy("_suffix").agg(
-                F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_blocked")
-            ),
-            "suffixes",
+            rows.groupBy("_suffix").agg(F.sum("_copies").alias("_n"), blocked), "suffixes"
         )
         total = self.suffixes.agg(F.sum("_n").alias("n"), F.sum("_blocked").alias("blocked")).first()
         self.overall = total["blocked"] / total["n"] if total["n"] else 0.0
         self.trees = None
         if 0 < self.overall < 1:
-            sample = _with_suffixes(rows, self.suffixes, self.overall, F.col("label"))
-            sample = sample.select(*FEATURES, "label", F.xxhash64("url").alias("_order"))
-            sample = keep(sample.orderBy("_order", *FEATURES, "label").limit(most_training), "training")
-            if sample.select("label").distinct().count() == 2:
-                gbt = GBTClassifier(
-                    featuresCol="_features", labelCol="label", maxIter=trees, maxDepth=depth, seed=7
-                )
-                self.trees = gbt.fit(_assembled(sample.coalesce(1)))
+            order = F.xxhash64("url"), "url"
+            halves = [rows.where(F.col("label") == k).orderBy(*order).limit(most_training // 2) for k in (0, 1)]
+            sample = _lexical(halves[0].unionByName(halves[1]).drop("_suffix"))
+            own = F.col("_copies"), F.col("_copies") * F.col("label")
+            sample = _with_suffixes(sample, self.suffixes, self.overall, *own)
+            sample = keep(sample.select(*FEATURES, "label", F.col("_copies").cast("double").alias("_weight")), "training")
+            gbt = GBTClassifier(
+                featuresCol="_features",
+                labelCol="label",
+                weightCol="_weight",
+                maxIter=trees,
+                maxDepth=depth,
+                seed=7,
+            )
+            in_order = sample.coalesce(1).sortWithinPartitions(*FEATURES, "label")
+            self.trees = gbt.fit(_assembled(in_order))
 
     def verdicts(self, pages: DataFrame) -> DataFrame:
         """``pages`` with ``model_verdict``."""
@@ -157,7 +173,7 @@ class UrlModel:
         if self.trees is None:
             constant = "block" if self.overall > 0.5 else "allow"
             return rows.withColumn("model_verdict", F.lit(constant)).select(*columns)
-        rows = _with_suffixes(rows, self.suffixes, self.overall, F.lit(None).cast("int"))
+        rows = _with_suffixes(rows, self.suffixes, self.overall, F.lit(0), F.lit(0))
         judged = self.trees.setPredictionCol("_predicted").transform(_assembled(rows))
         verdict = F.when(F.col("_predicted") > 0.5, "block").otherwise("allow")
         return judged.withColumn("model_verdict", verdict).select(*columns)
