@@ -28,14 +28,33 @@ FILES = [
     "versioned_publish",
     "landing_inventory",
     "partitioned_write_prune",
+    "corrected_drop",
+    "touched_month_publish",
+    "mart_after_dimension_change",
+    "ledger_after_compaction",
+    "mixed_layout_scan",
+    "field_errors",
+    "streamed_ingest",
+    "bucketed_customer_join",
 ]
 COMPUTE = [name for name in QUERIES if name not in FILES]
 
 
+def memory_files(spark):
+    return f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}"
+
+
 def peak_mb(spark):
-    """The largest resident memory of the driver's JVM so far."""
-    status = open(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/status").read()
-    return int(re.search(r"VmHWM:\s+(\d+)", status)[1]) // 1024
+    """The largest resident memory of the driver's JVM since it was last reset."""
+    with open(f"{memory_files(spark)}/status") as status:
+        return int(re.search(r"VmHWM:\s+(\d+)", status.read())[1]) // 1024
+
+
+def reset_peak(spark):
+    """After a collection, so that a query is not charged with what the one before left."""
+    spark._jvm.java.lang.System.gc()
+    with open(f"{memory_files(spark)}/clear_refs", "w") as clear:
+        clear.write("5")
 
 
 def seconds(spark, name):
@@ -49,10 +68,12 @@ def main():
     spark = local_session(CPUS, "tallyhouse-bench")
     timings, memory = {}, {}
     for name in chosen or COMPUTE:
+        reset_peak(spark)
         seconds(spark, name)
         timings[name] = round(statistics.median(seconds(spark, name) for _ in range(RUNS)), 3)
         memory[name] = peak_mb(spark)
     for name in [] if chosen else FILES:
+        reset_peak(spark)
         timings[name] = round(seconds(spark, name), 3)
         memory[name] = peak_mb(spark)
     print(

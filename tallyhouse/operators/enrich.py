@@ -8,7 +8,7 @@ execution splits a hot key of the sales side.
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.calendar import month_label
-from tallyhouse.schemas import TOTAL
+from tallyhouse.schemas import CUSTOMER_ROW_COLUMNS, SALES_ROW_COLUMNS, TOTAL
 
 
 def staff_as_seller(staff: DataFrame) -> DataFrame:
@@ -24,11 +24,14 @@ def staff_as_seller(staff: DataFrame) -> DataFrame:
     )
 
 
-def join_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    who = customers.select(
+def customer_columns(customers: DataFrame) -> DataFrame:
+    return customers.select(
         "customer_id", "first_name", "last_name", "address", "pincode", "phone_number"
     )
-    return sales.join(who, "customer_id")
+
+
+def join_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    return sales.join(customer_columns(customers), "customer_id")
 
 
 def join_store(sales: DataFrame, stores: DataFrame) -> DataFrame:
@@ -81,10 +84,11 @@ def with_known_keys(
     return sales.withColumns({flag: F.col(flag).isNotNull() for flag in KNOWN})
 
 
-def dropped_sales(checked: DataFrame) -> DataFrame:
-    """How many sales an inner join with all dimensions loses, by what they lack, and their total."""
+def dropped_sales(checked: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """How many sales an inner join with all dimensions loses, by what they lack (and ``by``), and
+    their total."""
     lacking = ~(F.col(KNOWN[0]) & F.col(KNOWN[1]) & F.col(KNOWN[2]))
-    return checked.where(lacking).groupBy(*KNOWN).agg(
+    return checked.where(lacking).groupBy(*KNOWN, *(by or [])).agg(
         F.count(F.lit(1)).alias("n_sales"), F.sum("total_cost").cast(TOTAL).alias("total_cost")
     )
 
@@ -112,33 +116,12 @@ def orphan_sales(sales: DataFrame, dimension: DataFrame, key: str, column: str)
     return sales.join(dimension.select(F.col(key).alias(column)), column, "left_anti")
 
 
-def customer_rows(enriched: DataFrame) -> DataFrame:
-    return enriched.select(
-        "customer_id",
-        "first_name",
-        "last_name",
-        "address",
-        "pincode",
-        "phone_number",
-        "sales_date",
-        "total_cost",
-    )
+def customer_rows(enriched: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """``more``: columns to keep beside the fixed ones."""
+    return enriched.select(*CUSTOMER_ROW_COLUMNS, *(more or []))
 
 
 def sales_rows(enriched: DataFrame, more: list[str] | None = None) -> DataFrame:
     """``more``: columns to keep beside the fixed ones."""
-    return enriched.select(
-        "store_id",
-        "sales_person_id",
-        "sales_person_first_name",
-        "sales_person_last_name",
-        "store_manager_name",
-        "manager_id",
-        "is_manager",
-        "sales_person_address",
-        "sales_person_pincode",
-        "sales_date",
-        "total_cost",
-        month_label(F.col("sales_date")).alias("sales_month"),
-        *(more or []),
-    )
+    month = month_label(F.col("sales_date")).alias("sales_month")
+    return enriched.select(*SALES_ROW_COLUMNS, month, *(more or []))

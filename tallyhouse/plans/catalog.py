@@ -1,12 +1,9 @@
-"""The registered queries, each over the whole of its tables."""
+"""The registered queries, each over the whole of its tables; those of the load are in ``flows``."""
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyhouse import scratch
 from tallyhouse.functions import calendar, text
-from tallyhouse.functions.money import as_double
 from tallyhouse.operators import (
     contract,
     drift,
@@ -17,31 +14,16 @@ from tallyhouse.operators import (
     synth,
     windows,
 )
+from tallyhouse.plans import flows  # noqa: F401  (registers its queries)
+from tallyhouse.plans.registry import QUERIES, query  # noqa: F401
 from tallyhouse.plans.retail import Retail
-from tallyhouse.schemas import CONTRACT, FACT_COLUMNS, OVERFLOW
-from tallyhouse.session import split_hot_keys
+from tallyhouse.schemas import CONTRACT, FACT_COLUMNS
 from tallyhouse.sinks import parquet
 from tallyhouse.sources import landing, typed
-from tallyhouse.streaming import ingest, refresh
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
 
 READ_BACK_MONTH = "1995-03"
 
 
-def query(build: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
-    """Registers ``build`` under its own name; money leaves as double."""
-
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        split_hot_keys(spark)
-        return as_double(build(Retail(spark, folder)))
-
-    QUERIES[build.__name__] = run
-    return build
-
-
 # Marts
 
 
@@ -380,15 +362,14 @@ def _orders(r: Retail) -> DataFrame:
     return r.table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
-def _drop_csv(df: DataFrame, folder: str) -> None:
-    df.write.option("header", True).csv(folder)
-
-
 @query
 def landing_inventory(r: Retail) -> DataFrame:
     """Bytes per monthly folder of the orders written as text."""
     folder = scratch.folder(r.spark, "landing")
-    rows = _orders(r).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    cents = (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("bigint").alias("cents")
+    rows = _orders(r).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", cents, "o_orderdate", "o_orderpriority"
+    )
     month = calendar.month_label(F.col("o_orderdate"))
     rows.withColumn("month", month).write.partitionBy("month").csv(folder)
     files = landing.inventory(r.spark, folder)
@@ -397,23 +378,11 @@ def landing_inventory(r: Retail) -> DataFrame:
     )
 
 
-def _drops(r: Retail) -> dict[str, DataFrame]:
-    """All sales in three layouts: as agreed, with a payment mode, and in another order."""
-    sales = scratch.keep(r.sales(carry=("l_returnflag", "l_linestatus")), "drops")
-    sales = sales.withColumnRenamed("l_linestatus", "payment_mode")
-    flag = F.col("l_returnflag")
-    return {
-        "plain": sales.where(flag == "A").select(*CONTRACT),
-        "extra": sales.where(flag == "N").select(*CONTRACT, "payment_mode"),
-        "turned": sales.where(~flag.isin("A", "N")).select("payment_mode", *reversed(CONTRACT)),
-    }
-
-
 @query
 def header_signature(r: Retail) -> DataFrame:
     folder = scratch.folder(r.spark, "headers")
-    for name, rows in _drops(r).items():
-        _drop_csv(rows, f"{folder}/{name}")
+    for name, rows in flows.drops(r).items():
+        flows.drop_csv(rows, f"{folder}/{name}")
     named = landing.headers(landing.inventory(r.spark, folder))
     return named.select(
         F.element_at(F.split("path", "/"), -2).alias("layout"),
@@ -426,7 +395,7 @@ def header_signature(r: Retail) -> DataFrame:
 def csv_typed_scan(r: Retail) -> DataFrame:
     folder = scratch.folder(r.spark, "csv")
     orders = _orders(r)
-    _drop_csv(orders, folder)
+    flows.drop_csv(orders, folder)
     return typed.csv_rows(r.spark, folder, T.StructType(orders.schema.fields))
 
 
@@ -466,26 +435,3 @@ def versioned_publish(r: Retail) -> DataFrame:
     first = parquet.publish(sales.drop("total_cost"), base, epoch_ms=1)
     parquet.publish(sales, base, epoch_ms=first + 1)
     return parquet.latest(r.spark, base).select(*FACT_COLUMNS)
-
-
-@query
-def incremental_ingest(r: Retail) -> DataFrame:
-    """Three drops of different layout, each taken in when it arrives."""
-    base = scratch.folder(r.spark, "ingest")
-    for name, rows in _drops(r).items():
-        _drop_csv(rows, f"{base}/landing/{name}")
-        ingest.ingest(r.spark, f"{base}/landing", f"{base}/store")
-    return ingest.accepted_sales(r.spark, f"{base}/store").select(*CONTRACT, OVERFLOW)
-
-
-@query
-def cumulative_mart(r: Retail) -> DataFrame:
-    """Two drops that share their months; the mart holds the totals of both."""
-    base = scratch.folder(r.spark, "cumulative")
-    sales = scratch.keep(r.sales(carry=("l_linestatus",)), "drops")
-    early = F.col("l_linestatus") == "F"
-    after = refresh.keep_marts(f"{base}/marts", r.dimensions())
-    for number, part in enumerate([sales.where(early), sales.where(~early)]):
-        _drop_csv(part.select(*CONTRACT), f"{base}/landing/day={number}")
-        ingest.ingest(r.spark, f"{base}/landing", f"{base}/store", after_batch=after)
-    return refresh.read_customer_mart(r.spark, f"{base}/marts")

@@ -158,6 +158,47 @@ FROM totals
 """,
     "customer_month_mart": _VIEW + _CUSTOMER_MART,
     "cumulative_mart": _VIEW + _CUSTOMER_MART,
+    "corrected_drop": _VIEW + _CUSTOMER_MART,
+    "touched_month_publish": _VIEW + _CUSTOMER_MART,
+    "customer_lapse": _VIEW
+    + """, spans AS (
+  SELECT customer_id, min(sales_date_month) AS first,
+         (SELECT max(sales_date_month) FROM customer_totals) AS last
+  FROM customer_totals GROUP BY customer_id
+), spine AS (
+  SELECT customer_id, CAST(unnest(generate_series(first, last, INTERVAL 1 MONTH)) AS DATE) AS sales_date_month
+  FROM spans
+), filled AS (
+  SELECT customer_id, sales_date_month, coalesce(total, 0) AS total,
+         CASE WHEN total IS NOT NULL THEN sales_date_month END AS seen
+  FROM spine LEFT JOIN customer_totals USING (customer_id, sales_date_month)
+), told AS (
+  SELECT *, lag(total) OVER w AS previous, max(seen) OVER w AS last_seen
+  FROM filled WINDOW w AS (PARTITION BY customer_id ORDER BY sales_date_month)
+)
+SELECT customer_id, sales_date_month, CAST(total AS DOUBLE) AS total_sales,
+       CAST(previous AS DOUBLE) AS previous_total, coalesce(total < previous, FALSE) AS declining,
+       CAST(datediff('month', last_seen, sales_date_month) AS INTEGER) AS months_since
+FROM told
+""",
+    "mixed_layout_scan": _VIEW + f"SELECT {_FACT}, l_linestatus AS additional_columns FROM fact",
+    "field_errors": _VIEW
+    + """, dropped AS (
+  SELECT *, l_returnflag = 'R' AS no_number, l_linenumber = 3 AS finer, l_linenumber = 5 AS no_date,
+         CASE WHEN l_linenumber = 3 THEN price + 0.01 ELSE price END AS read_price
+  FROM fact
+), found AS (
+  SELECT 'quantity' AS "column", 'q' || quantity AS value, 'int' AS expected FROM dropped WHERE no_number
+  UNION ALL
+  SELECT 'price', price || '5', 'at most two decimals' FROM dropped WHERE finer
+  UNION ALL
+  SELECT 'sales_date', strftime(sales_date, '%d/%m/%Y'), 'date' FROM dropped WHERE no_date
+  UNION ALL
+  SELECT 'total_cost', CAST(total_cost AS VARCHAR), 'price times quantity' FROM dropped
+  WHERE NOT no_number AND read_price * quantity <> total_cost
+)
+SELECT "column", value, expected, count(*) AS n_rows FROM found GROUP BY ALL
+""",
     "salesperson_month_total": _VIEW
     + """
 SELECT store_id, sales_person_id, sales_month, CAST(total AS DOUBLE) AS total_sales
@@ -257,6 +298,11 @@ SELECT {_FACT_ALL} FROM (
     + f"""
 SELECT {_FACT}, CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_linestatus END AS additional_columns
 FROM fact
+""",
+    "streamed_ingest": _VIEW
+    + f"""
+SELECT {_FACT}, CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_linestatus END AS additional_columns
+FROM fact
 """,
     "quarantine_rows": _VIEW
     + f"""
@@ -356,6 +402,7 @@ FROM orders WHERE o_orderstatus IN ('F', 'O')
 """,
     "synth_sales": _synth(),
     "ledger_latest_state": _LATEST_EVENT,
+    "ledger_after_compaction": _LATEST_EVENT,
     "ledger_unfinished": f"""
 SELECT file_name FROM ({_LATEST_EVENT})
 WHERE status = 'error' AND file_name IN (SELECT c_custkey FROM customer)
@@ -363,7 +410,9 @@ WHERE status = 'error' AND file_name IN (SELECT c_custkey FROM customer)
     "landing_inventory": """
 SELECT strftime(o_orderdate, '%Y-%m') AS month,
        CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + length(CAST(o_custkey AS VARCHAR))
-                + length(o_orderstatus) + 10 + 4) AS BIGINT) AS total_bytes
+                + length(o_orderstatus) + length(o_orderpriority) + 10 + 6
+                + length(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS VARCHAR))) AS BIGINT)
+         AS total_bytes
 FROM orders GROUP BY ALL
 """,
     "header_signature": f"""
@@ -378,3 +427,6 @@ FROM lineitem
     "csv_typed_scan": _ORDERS,
     "json_typed_scan": _ORDERS,
 }
+
+ORACLES["mart_after_dimension_change"] = ORACLES["salesperson_incentive"]
+ORACLES["bucketed_customer_join"] = ORACLES["join_customer"]

@@ -2,7 +2,9 @@
 
 from pyspark.sql import types as T
 
-# The columns every sales file has to carry, in their order.
+# Fixed values throughout this module: the names of the columns of files, dimensions and marts.
+
+# The columns every sales file has to carry, in their order.
 CONTRACT = [
     "customer_id",
     "store_id",
@@ -14,7 +16,6 @@ CONTRACT = [
     "total_cost",
 ]
 OVERFLOW = "additional_columns"
-CORRUPT = "_corrupt_record"
 
 MONEY = T.DecimalType(18, 2)
 PRICE = T.DecimalType(10, 2)
@@ -98,15 +99,25 @@ FILES = table(
     extra=NAMES,
     accepted=T.BooleanType(),
     reason=TEXT,
+    header=TEXT,
+    replaces=LONG,
     load_batch=LONG,
 )
+FILE_STATE = table(path=TEXT, load_batch=LONG, modificationTime=TIME, length=LONG, counts_from=LONG)
+WITHDRAWN = table(path=TEXT, load_batch=LONG)
 FINISHED = table(at=TIME, load_batch=LONG)
 LEDGER = table(file_name=TEXT, file_location=TEXT, status=TEXT, at=TIME, load_batch=LONG)
+FIELD_ERRORS = T.ArrayType(table(column=TEXT, value=TEXT, expected=TEXT))
+ROWS = table(
+    **CONTRACT_TYPES, additional_columns=TEXT, path=TEXT, file_name=TEXT, errors=FIELD_ERRORS, raw_line=TEXT
+)
 LANDED = table(
     **CONTRACT_TYPES,
     additional_columns=TEXT,
+    path=TEXT,
     file_name=TEXT,
     reason=TEXT,
+    errors=FIELD_ERRORS,
     raw_line=TEXT,
     load_batch=LONG,
     outcome=TEXT,
@@ -117,10 +128,35 @@ SUMS = table(
     store_id=LONG,
     sales_person_id=LONG,
     total_cost=TOTAL,
-    load_batch=LONG,
+    n_sales=LONG,
     sales_month=TEXT,
 )
 
+# The columns of the two row datasets, in their order.
+CUSTOMER_ROW_COLUMNS = [
+    "customer_id",
+    "first_name",
+    "last_name",
+    "address",
+    "pincode",
+    "phone_number",
+    "sales_date",
+    "total_cost",
+]
+SALES_ROW_COLUMNS = [
+    "store_id",
+    "sales_person_id",
+    "sales_person_first_name",
+    "sales_person_last_name",
+    "store_manager_name",
+    "manager_id",
+    "is_manager",
+    "sales_person_address",
+    "sales_person_pincode",
+    "sales_date",
+    "total_cost",
+]
+
 CUSTOMER_MART = table(
     customer_id=LONG,
     full_name=TEXT,

@@ -49,7 +49,7 @@ def recorded() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _recorders.remove(paths)
+        _recorders[:] = [held for held in _recorders if held is not paths]  # by identity: lists may be equal
 
 
 def delete(spark: SparkSession, paths: Iterable[str]) -> None:

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .getOrCreate()
     )

@@ -1,0 +1,107 @@
+"""Lines of mixed layouts read in one scan, and what is told of bad ones."""
+
+import pytest
+
+from helpers import HEADER, plan_of, rows_of
+from tallyhouse.plans.catalog import QUERIES
+from tallyhouse.schemas import CONTRACT
+from tallyhouse.sources import landing
+from tallyhouse.streaming import ingest
+
+DATA = "/root/testdata/sf0.001"
+ROW = "1,121,sugar,2023-03-03,1,50,2,100"
+
+
+@pytest.fixture
+def take_in(spark, tmp_path):
+    def run(files, **options):
+        for name, lines in files.items():
+            path = tmp_path / "landing" / name
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_bytes("\n".join(lines).encode() if isinstance(lines, list) else lines)
+        store = str(tmp_path / "store")
+        ingest.ingest(spark, str(tmp_path / "landing"), store, **options)
+        return store
+
+    return run
+
+
+def told(spark, store):
+    return [tuple(r) for r in rows_of(ingest.field_errors(spark, store), "column", "value", "expected")]
+
+
+BAD = {
+    ROW.replace("2023-03-03", "03/04/2023"): ("sales_date", "03/04/2023", "date"),
+    ROW.replace("2023-03-03", "2023"): ("sales_date", "2023", "date"),
+    ROW.replace("1,121", "x,121"): ("customer_id", "x", "bigint"),
+    ROW.replace("1,121", "1.5,121"): ("customer_id", "1.5", "bigint"),
+    ROW.replace(",50,", ",50.125,"): ("price", "50.125", "at most two decimals"),
+    ROW.replace(",2,100", ",2,99999999999999999999"): ("total_cost", "99999999999999999999", "decimal(18,2)"),
+    ROW.replace(",2,100", ",9999999999,100"): ("quantity", "9999999999", "int"),
+    "3,121": (None, "2", "8 fields"),
+    ROW + ",more,and more": (None, "more than the header has", "8 fields"),
+    ROW + ",more": (None, "9", "8 fields"),
+}
+
+
+def test_each_fault_is_told_by_its_field(spark, take_in):
+    store = take_in({f"{n}.csv": [HEADER, ROW, b] for n, b in enumerate(BAD)})
+    found = ingest.field_errors(spark, store)
+    wanted = sorted(((b, *e) for b, e in BAD.items()), key=str)
+    lines = {r.raw_line: (r.column, r.value, r.expected) for r in found.collect()}
+    nine = ROW + ",more"
+    assert lines.pop(nine) in [(None, "9", "8 fields"), (None, "more than the header has", "8 fields")]
+    assert sorted(((b, *e) for b, e in lines.items()), key=str) == [w for w in wanted if w[0] != nine]
+    assert ingest.accepted_sales(spark, store).count() == len(BAD)
+
+
+def test_several_faults_of_a_line_are_all_told(spark, take_in):
+    store = take_in({"a.csv": [HEADER, "x,y,sugar,today,1,50,2,100"]})
+    row = ingest.quarantined_rows(spark, store).first()
+    assert row.reason == "customer_id: 'x' is not bigint; store_id: 'y' is not bigint; sales_date: 'today' is not date"
+    assert [e.column for e in row.errors] == ["customer_id", "store_id", "sales_date"]
+
+
+def test_totals_are_checked_on_request(spark, take_in, tmp_path):
+    wrong = ROW.replace(",100", ",99")
+    store = take_in({"a.csv": [HEADER, ROW, wrong, ROW.replace(",100", ",")]}, check_total=True)
+    assert told(spark, store) == [("total_cost", "99", "price times quantity")]
+    assert ingest.accepted_sales(spark, store).count() == 2
+    ingest.ingest(spark, str(tmp_path / "landing"), str(tmp_path / "lenient"))
+    assert ingest.accepted_sales(spark, str(tmp_path / "lenient")).count() == 3
+
+
+def test_lines_that_are_no_rows_and_odd_ones(spark, take_in):
+    files = {
+        "a.csv": [HEADER, "", "  ", ROW, HEADER, ROW.replace("sugar", "")],
+        "crlf.csv": (HEADER + "\r\n" + ROW + "\r\n").encode(),
+        "bom.csv": ("﻿" + HEADER + "\n" + ROW).encode(),
+        "quoted.csv": [HEADER, ROW.replace("sugar", '"salt, fine"'), ROW.replace("121", '""')],
+        "bytes.csv": (HEADER + ",caf").encode() + b"\xe9\n" + (ROW + ",x\n").encode(),
+        "nothing.csv": [HEADER],
+    }
+    store = take_in(files)
+    rows = ingest.accepted_sales(spark, store)
+    assert told(spark, store) == []
+    by_file = {}
+    for r in rows.collect():
+        by_file.setdefault(r.file_name, []).append((r.store_id, r.product_name, r.additional_columns))
+    assert set(by_file.pop("a.csv")) == {(121, None, None), (121, "sugar", None)}
+    assert set(by_file.pop("quoted.csv")) == {(121, "salt, fine", None), (None, "sugar", None)}
+    assert by_file == {
+        "crlf.csv": [(121, "sugar", None)],
+        "bom.csv": [(121, "sugar", None)],
+        "bytes.csv": [(121, "sugar", "x")],
+    }
+
+
+def test_fifty_layouts_are_one_scan(spark):
+    plan = plan_of(QUERIES["mixed_layout_scan"](spark, DATA))
+    assert plan.count("FileScan text") == 1 and "Union" not in plan and "SortMergeJoin" not in plan
+
+
+def test_no_accepted_file_gives_no_rows(spark, take_in):
+    store = take_in({"a.txt": ["x"]})
+    files = ingest.landed_files(spark, store)
+    assert landing.read_sales(files).collect() == []
+    assert set(CONTRACT) < set(landing.read_sales(files).columns)

@@ -11,9 +11,9 @@ from tallyhouse import scratch
 from tallyhouse.operators import marts, quality, synth
 from tallyhouse.operators.enrich import KNOWN
 from tallyhouse.plans import job
-from tallyhouse.plans.monthly import DATASETS, monthly_load
+from tallyhouse.plans.monthly import DATASETS, monthly_load, published
 from tallyhouse.schemas import CONTRACT
-from tallyhouse.sinks import parquet
+from tallyhouse.sinks import months, parquet
 from tallyhouse.sources.dimensions import Dimensions
 from tallyhouse.streaming import ingest, refresh
 
@@ -51,8 +51,9 @@ def test_a_refresh_reads_sums_of_touched_months_only(spark, tmp_path, monkeypatc
     ingest.ingest(spark, str(landing), store, after_batch=refresh.keep_marts(out, dimensions))
     april = refresh.batch_sums(spark, out).where(F.col("sales_month").isin(["2023-04"]))
     assert april.count() == 1
+    april = refresh.batch_sums(spark, out, ["2023-04"])
     filters = next(x for x in explained(april).splitlines() if "PartitionFilters" in x)
-    assert "2023-04" in filters
+    assert "2023-04" in filters and april.count() == 1
     monkeypatch.setattr(refresh, "accepted_sales", None)  # sales are not read again
     refresh.refresh_marts(spark, out, ["2023-03", "2023-04"], dimensions)
     assert refresh.read_sales_team_mart(spark, out).count() == 6
@@ -75,8 +76,8 @@ def test_undated_sales_and_lost_dimension_rows(spark, tmp_path):
         ("customer_mart", refresh.read_customer_mart),
         ("sales_team_mart", refresh.read_sales_team_mart),
     ):
-        published = parquet.latest(spark, f"{out}/load/{name}")
-        assert rows_of(read(spark, out), *published.columns) == rows_of(published)
+        loaded = published(spark, f"{out}/load", name)
+        assert rows_of(read(spark, out), *loaded.columns) == rows_of(loaded)
     assert refresh.read_customer_mart(spark, out).where("sales_date_month IS NULL").count() == 1
 
 
@@ -93,9 +94,12 @@ def test_a_crash_between_publishes_leaves_the_old_version(spark, tmp_path, monke
     monkeypatch.setattr("tallyhouse.plans.monthly.sales_rows", broken)
     with pytest.raises(RuntimeError, match="lost"):
         monthly_load(spark, store, out, dimensions)
-    assert {parquet.newest(spark, f"{out}/{name}") for name in DATASETS} == {first}
+    assert months.newest(spark, out).epoch == first
+    assert set(DATASETS) < set(months.newest(spark, out).months)
     with pytest.raises(FileNotFoundError):
         parquet.latest(spark, f"{out}/unknown")
+    with pytest.raises(FileNotFoundError):
+        published(spark, out, "unknown")
 
 
 def test_monthly_load_publishes_rows_and_marts(spark, tmp_path):
@@ -105,15 +109,13 @@ def test_monthly_load_publishes_rows_and_marts(spark, tmp_path):
     dimensions = Dimensions(*dimensions_of(spark))
     first = monthly_load(spark, store, out, dimensions)
     assert monthly_load(spark, store, out, dimensions) > first
-    assert parquet.latest(spark, f"{out}/customer_rows").count() == 7
-    rows = parquet.latest(spark, f"{out}/sales_rows")
-    assert rows.count() == 7 and rows.columns[-2:] == ["sales_month", "store_id"]
+    assert published(spark, out, "customer_rows").count() == 7
+    rows = published(spark, out, "sales_rows")
+    assert rows.count() == 7 and rows.columns[-1] == "sales_month"
     team = marts.sales_team_mart(golden_sales(spark), *dimensions_of(spark))
-    published = parquet.latest(spark, f"{out}/sales_team_mart")
-    assert rows_of(published, *team.columns) == rows_of(team)
+    assert rows_of(published(spark, out, "sales_team_mart"), *team.columns) == rows_of(team)
     spent = marts.customer_mart(golden_sales(spark), *dimensions_of(spark))
-    published = parquet.latest(spark, f"{out}/customer_mart")
-    assert rows_of(published, *spent.columns) == rows_of(spent)
+    assert rows_of(published(spark, out, "customer_mart"), *spent.columns) == rows_of(spent)
 
 
 def test_dropped_sales_are_reported_and_products_joined(spark, tmp_path):
@@ -123,12 +125,12 @@ def test_dropped_sales_are_reported_and_products_joined(spark, tmp_path):
     names = [(1, "sugar", Decimal("50.00")), (2, "sugar", Decimal("51.00"))]
     products = spark.createDataFrame(names, "id long, name string, current_price decimal(10,2)")
     monthly_load(spark, store, out, Dimensions(*dimensions_of(spark), products))
-    report = parquet.latest(spark, f"{out}/dropped_sales")
+    report = published(spark, out, "dropped_sales")
     assert rows_of(report, *KNOWN, "n_sales", "total_cost") == [
         (False, True, True, 1, Decimal("7.00")),
         (True, True, False, 1, Decimal("500.00")),
     ]
-    rows = parquet.latest(spark, f"{out}/sales_rows")
+    rows = published(spark, out, "sales_rows")
     assert rows.count() == 7
     assert rows_of(rows.select("product_name", "product_id", "current_price").distinct()) == [
         ("sugar", 1, Decimal("50.00"))
@@ -216,9 +218,9 @@ def test_the_job_lands_and_publishes(spark, tmp_path):
     words = ["--landing", "landing", "--store", "store", "--out", "out", "--dimensions", "dims"]
     chosen = job.options([w if w.startswith("--") else str(tmp_path / w) for w in words])
     epoch = job.run(spark, chosen)
-    first = rows_of(parquet.latest(spark, f"{chosen.out}/sales_team_mart"))
+    first = rows_of(published(spark, chosen.out, "sales_team_mart"))
     assert job.run(spark, chosen) == epoch  # no new file, nothing written
-    assert rows_of(parquet.latest(spark, f"{chosen.out}/sales_team_mart")) == first
+    assert rows_of(published(spark, chosen.out, "sales_team_mart")) == first
     assert len(first) == 6
     with pytest.raises(SystemExit):
         job.options(["--landing", "x"])
@@ -242,24 +244,24 @@ def test_batches_landed_before_a_crash_are_published_by_the_next_run(spark, tmp_
     first = job.run(spark, chosen)
     as_files(sales_of(spark, [(2, 121, date(2023, 5, 2), 2, "9.00")]), tmp_path / "landing" / "b")
     with monkeypatch.context() as patched:
-        patched.setattr("tallyhouse.plans.monthly.parquet.commit", _broken)
+        patched.setattr("tallyhouse.plans.monthly.months.commit", _broken)
         with pytest.raises(RuntimeError, match="lost"):
             job.run(spark, chosen)
-    assert parquet.newest(spark, f"{chosen.out}/sales_rows") == first
+    assert months.newest(spark, chosen.out).epoch == first
     second = job.run(spark, chosen)  # no new file, yet a batch that no version holds
     assert second > first
-    assert parquet.latest(spark, f"{chosen.out}/sales_rows").count() == 8
+    assert published(spark, chosen.out, "sales_rows").count() == 8
     assert job.run(spark, chosen) == second
 
 
 def test_changed_dimension_rows_are_published_without_a_new_file(spark, tmp_path):
     chosen = _job(spark, tmp_path, ["--dimensions", str(tmp_path / "dims")])
     first = job.run(spark, chosen)
-    stores = dimensions_of(spark)[1].where("id <> 122").localCheckpoint()
+    stores = dimensions_of(spark)[1].where("id <> 122")
     stores.write.mode("overwrite").parquet(str(tmp_path / "dims" / "store"))
     second = job.run(spark, chosen)
     assert second > first and job.run(spark, chosen) == second
-    assert parquet.latest(spark, f"{chosen.out}/sales_rows").where("store_id = 122").count() == 0
+    assert published(spark, chosen.out, "sales_rows").where("store_id = 122").count() == 0
 
 
 @pytest.mark.parametrize("fails_at", [1, 2])
@@ -281,9 +283,9 @@ def test_a_table_left_half_filled_is_filled_by_the_next_run(spark, tmp_path, mon
     monkeypatch.setattr("tallyhouse.plans.monthly.jdbc.replace", replace)
     with pytest.raises(RuntimeError, match="lost"):
         job.run(spark, chosen)
-    published = parquet.newest(spark, f"{chosen.out}/sales_rows")
-    assert job.run(spark, chosen) == published  # the version is whole, only the tables are filled
-    marts = [parquet.latest(spark, f"{chosen.out}/{m}").count() for m in ("customer_mart", "sales_team_mart")]
-    assert list(tables.values()) == marts
+    epoch = months.newest(spark, chosen.out).epoch
+    assert job.run(spark, chosen) == epoch  # the version is whole, only the tables are filled
+    held = [published(spark, chosen.out, m).count() for m in ("customer_mart", "sales_team_mart")]
+    assert list(tables.values()) == held
     n = len(calls)
-    assert job.run(spark, chosen) == published and len(calls) == n
+    assert job.run(spark, chosen) == epoch and len(calls) == n
