@@ -12,8 +12,9 @@ comparing every anchor with every row.
 
 A list is cut at quantiles of its bounds into segments of 1/64, 3/64, 3/16 and 3/4 of the rows, and
 a round walks one segment. Within it the members that are not done meet the rows in blocks of about
-``QUERY_BLOCK`` and ``BLOCK``, whatever the size of the cluster or the label; bounds are raised by
-more than the rounding of their floats. The centres are fitted on at most ``SAMPLE`` anchors, the
+``QUERY_BLOCK`` and ``BLOCK``, whatever the size of the cluster or the label; small clusters are packed
+together, so that a row is sent once for all of them. Bounds are raised by more than the rounding of
+their floats. The centres are fitted on at most ``SAMPLE`` anchors, the
 smallest by hash of their id; they decide how early walks end, never their outcome.
 
 Defined cases: rows with a NULL id, a NULL label or a NULL vector, or with a NULL, non-finite or
@@ -36,8 +37,8 @@ from tallyhouse.scratch import keep
 SAMPLE = 20_000
 CLUSTERS = 16
 ANCHORS_PER_CLUSTER = 64
-QUERY_BLOCK = 512
-BLOCK = 4096
+QUERY_BLOCK = 2048
+BLOCK = 2048
 SHARES = [1 / 64, 1 / 16, 1 / 4]  # of the rows, up to the end of a segment; the last has the rest
 _SLACK = 1e-6
 _ANSWER = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
@@ -131,6 +132,7 @@ class Lists:
         ]
         row = rows.agg(*held).first()
         self.held = [[row[f"n{k}_{r}"] for r in range(self.n_segments)] for k in range(n_clusters)]
+        self.n_rows = sum(self.held[0])
 
     n_segments = len(SHARES) + 1
 
@@ -138,11 +140,29 @@ class Lists:
         bound, cuts = F.get("bounds", F.lit(cluster)), self.cuts[cluster]
         return (bound >= cuts[segment + 1]) & (bound < cuts[segment])
 
-    def segment(self, clusters: list[int], segment: int) -> DataFrame:
-        """``cluster, vec_id, label, v``: a row for each of ``clusters`` whose list has it there."""
-        held = F.array(*[F.when(self.within(k, segment), F.lit(k)) for k in clusters])
-        rows = self.rows.select("vec_id", "label", "v", F.array_compact(held).alias("cs")).where(F.size("cs") > 0)
-        return rows.select(F.explode("cs").alias("cluster"), "vec_id", "label", "v")
+    def segment(self, packs: list[list[int]], segment: int) -> DataFrame:
+        """``pack, clusters, vec_id, label, v``: a row for each pack that has clusters whose list has it there."""
+        held = []
+        for pack, clusters in enumerate(packs):
+            found = F.array_compact(F.array(*[F.when(self.within(k, segment), F.lit(k)) for k in clusters]))
+            held.append(F.struct(F.lit(pack).alias("pack"), found.alias("clusters")))
+        met = F.filter(F.array(*held), lambda h: F.size(h["clusters"]) > 0)
+        return self.rows.select(F.explode(met).alias("met"), "vec_id", "label", "v").select(
+            "met.*", "vec_id", "label", "v"
+        )
+
+
+def packed(members: dict[int, int]) -> list[list[int]]:
+    """Clusters in packs of ``QUERY_BLOCK`` members at most; a larger cluster is a pack of its own."""
+    packs: list[list[int]] = []
+    room = 0
+    for cluster in sorted(members, key=lambda k: (-members[k], k)):
+        if members[cluster] > room:
+            packs.append([])
+            room = max(QUERY_BLOCK, members[cluster])
+        packs[-1].append(cluster)
+        room -= members[cluster]
+    return packs
 
 
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -161,10 +181,13 @@ def _block(same_label: bool, most: int):
         if members.num_rows and rows.num_rows:
             rows = rows.sort_by("vec_id")
             ids, labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy()
+            listed = rows["clusters"].combine_chunks()
+            holds = np.zeros((rows.num_rows, CLUSTERS), bool)
+            holds[listed.value_parent_indices().to_numpy(), listed.flatten().to_numpy()] = True
             scores = _scores(_matrix(members["v"], members.num_rows), _matrix(rows["v"], rows.num_rows))
-            who = zip(*(members[c].to_pylist() for c in ("vec_id", "label", "wants")), strict=True)
-            for (anchor, label, wants), row in zip(who, scores, strict=True):
-                fits = np.flatnonzero(((labels == label) == same_label) & (ids != anchor))
+            who = zip(*(members[c].to_pylist() for c in ("cluster", "vec_id", "label", "wants")), strict=True)
+            for (cluster, anchor, label, wants), row in zip(who, scores, strict=True):
+                fits = np.flatnonzero(holds[:, cluster] & ((labels == label) == same_label) & (ids != anchor))
                 fits = fits[np.argsort(-row[fits], kind="stable")]  # ties by smaller id
                 falling = -row[fits]
                 for want in wants:
@@ -179,10 +202,8 @@ def _block(same_label: bool, most: int):
     return best
 
 
-def _number(per_cluster: dict[int, int], size: int) -> Column:
-    """Blocks of about ``size`` that the row's cluster needs."""
-    pairs = [F.lit(x) for k, n in per_cluster.items() for x in (k, max(1, -(-n // size)))]
-    return F.create_map(*pairs)[F.col("cluster")]
+def _mapped(values: list[int], key: str) -> Column:
+    return F.create_map(*[F.lit(x) for pair in enumerate(values) for x in pair])[F.col(key)]
 
 
 def walk(members: DataFrame, lists: Lists, same_label: bool, most: int) -> DataFrame:
@@ -196,27 +217,31 @@ def walk(members: DataFrame, lists: Lists, same_label: bool, most: int) -> DataF
         waiting = {r["cluster"]: r["count"] for r in members.groupBy("cluster").count().collect()}
         if not waiting:
             break
-        clusters = sorted(waiting)
-        row_blocks = _number({k: lists.held[k][segment] for k in clusters}, BLOCK)
-        member_blocks = _number(waiting, QUERY_BLOCK)
-        left = members.select(
-            "cluster",
+        packs = packed(waiting)
+        pack_of = F.create_map(*[F.lit(x) for p, clusters in enumerate(packs) for k in clusters for x in (k, p)])
+        here = [min(lists.n_rows, sum(lists.held[k][segment] for k in clusters)) for clusters in packs]
+        row_blocks = _mapped([max(1, -(-n // BLOCK)) for n in here], "pack")
+        member_blocks = _mapped([-(-sum(waiting[k] for k in c) // QUERY_BLOCK) for c in packs], "pack")
+        left = members.withColumn("pack", pack_of[F.col("cluster")]).select(
+            "pack",
             F.pmod(F.xxhash64("vec_id"), member_blocks).cast("int").alias("mb"),
             F.explode(F.sequence(F.lit(0), row_blocks - 1)).alias("rb"),
+            "cluster",
             "vec_id",
             "label",
             "v",
             "wants",
         )
-        right = lists.segment(clusters, segment).select(
-            "cluster",
+        right = lists.segment(packs, segment).select(
+            "pack",
             F.explode(F.sequence(F.lit(0), member_blocks - 1)).alias("mb"),
             F.pmod(F.xxhash64("vec_id"), row_blocks).cast("int").alias("rb"),
+            "clusters",
             "vec_id",
             "label",
             "v",
         )
-        keys = ["cluster", "mb", "rb"]
+        keys = ["pack", "mb", "rb"]
         met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
             _block(same_label, most), "anchor_id long, slot long, score long, vec_id long"
         )
@@ -232,7 +257,10 @@ def walk(members: DataFrame, lists: Lists, same_label: bool, most: int) -> DataF
 
 
 def _not_certain(members: DataFrame, found: DataFrame, lists: Lists, segment: int, most: int) -> DataFrame:
-    """The members, and of their wants those that the rest of the list may still change."""
+    """The members, and of their wants those that the rest of the list may still change.
+
+    A want that is full takes nothing below the worst it holds any more.
+    """
     follows = F.create_map(*[F.lit(x) for k in range(lists.n_clusters) for x in (k, lists.cuts[k][segment + 1])])
     at_most = F.col("norm") * follows[F.col("cluster")]
     at_most = at_most + F.abs(at_most) * _SLACK + _SLACK
@@ -241,11 +269,12 @@ def _not_certain(members: DataFrame, found: DataFrame, lists: Lists, segment: in
     full = full.agg(F.map_from_entries(F.collect_list(F.struct("slot", "worst"))).alias("full"))
     joined = members.join(full.withColumnRenamed("anchor_id", "vec_id"), "vec_id", "left")
 
-    def is_open(want: Column) -> Column:
+    def raised(want: Column) -> Column:
         worst = F.try_element_at(F.col("full"), want["slot"])
-        return (at_most >= want["low"]) & F.coalesce(worst <= at_most, F.lit(True))
+        return _want(want["slot"], F.greatest(want["low"], worst), want["high"])
 
-    return joined.withColumn("wants", F.filter("wants", is_open)).where(F.size("wants") > 0).select(*members.columns)
+    raised_wants = F.filter(F.transform("wants", raised), lambda want: at_most >= want["low"])
+    return joined.withColumn("wants", raised_wants).where(F.size("wants") > 0).select(*members.columns)
 
 
 def _want(slot: Column, low: Column, high: Column) -> Column:

@@ -77,6 +77,11 @@ def test_walks_end_early(spark, monkeypatch):
     assert left[0][1] < left[0][0] / 4 or left[1][1] < left[0][0] / 4
 
 
+def test_small_clusters_share_a_pack(monkeypatch):
+    monkeypatch.setattr(hard_negatives, "QUERY_BLOCK", 10)
+    assert hard_negatives.packed({0: 4, 1: 25, 2: 6, 3: 1, 4: 5}) == [[1], [2], [4, 0, 3]]
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(2)
     vectors, anchors = rng.normal(size=(500, 6)) * 9, rng.normal(size=(60, 6))
