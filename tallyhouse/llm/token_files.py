@@ -6,42 +6,62 @@ number of data bytes less one. Control bytes and data bytes are kept apart, so a
 lengths from a table of 256 rows and all values from four masked reads, in numpy, with no loop
 over tokens.
 
-A file set is a folder: ``blocks`` (shard and number of a block, the ids and token counts of its
-documents, its control bytes and its data bytes) and ``ranks`` (the id of each rank; at most as
+A file set is a folder: ``blocks`` (shard and number of a block, how many tokens it has, the ids and
+token counts of its documents, its control bytes and its data bytes) and ``ranks`` (the id of each rank; at most as
 many rows as the tokenizer has ids). Documents ascend through shards, blocks and their rows. The
 container is Parquet, so that Spark writes it on any store and a task that is lost leaves
 nothing half-written.
 
 Encoding: texts are cut where the tokenizer cuts anyway, before a single space that is followed
-by anything but white space, and each piece is looked up in a cache of its worker; pieces not
-seen before are encoded with the tokenizers library. Texts in which such a cut could matter
-(white space behind a space, or the name of a special token) are encoded whole.
+by anything but white space, and each piece is looked up in a cache of its worker. Pieces not
+seen before are split as the byte-level pre-tokenizer splits, and pre-tokens not seen before go
+through the tokenizer's model. Texts in which such a cut could matter (white space behind a space, or
+the name of a special token) are encoded whole, as are the pieces of a tokenizer of another kind.
 
 Defined cases: a NULL text is empty and has the end id only; a NULL id comes first; rows with
 equal ids follow one another, ordered by their ids; an empty table gives empty files.
 """
 
+import json
 import os
 from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyhouse.scratch import folder
 
-MOST_CACHED = 1_000_000
+MOST_CACHED = 128 << 20  # bytes, of each of a worker's two caches
+_ENTRY = 150  # bytes of a cache entry besides its text and ids
 TOKENS_PER_BLOCK = 1 << 19
 _BLOCK = (
-    "shard long, block long, doc_ids array<long>, counts array<long>, control binary, data binary"
+    "shard long, block long, n long, doc_ids array<long>, counts array<long>, control binary, data binary"
 )
+#: Fixed value: how the byte-level pre-tokenizer of the tokenizers library splits.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], np.int64)
 
 _encoders: dict[str, "Encoder"] = {}
 
 
+class _Cache(dict):
+    """Ids by text, up to ``MOST_CACHED`` bytes."""
+
+    def __init__(self):
+        super().__init__()
+        self.room = MOST_CACHED
+
+    def put(self, text: str, ids: bytes) -> None:
+        needed = 2 * len(text) + len(ids) + _ENTRY
+        if needed <= self.room:
+            self.room -= needed
+            self[text] = ids
+
+
 class Encoder:
     """One per worker and tokenizer file."""
 
@@ -52,7 +72,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = id_type(self.tokenizer.get_vocab_size())
-        self.pieces: dict[str, bytes] = {}
+        self.split = regex.compile(BYTE_LEVEL).findall if self._is_byte_level() else None
+        self.pieces, self.tokens = _Cache(), _Cache()
+
+    def _is_byte_level(self) -> bool:
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True)
+        return plain and not before.get("add_prefix_space") and not kind["normalizer"]
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -64,44 +91,82 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
+    def _of_token(self, token: str) -> bytes:
+        written = token.encode().decode("latin-1").translate(_LETTERS)
+        ids = np.array([t.id for t in self.tokenizer.model.tokenize(written)], self.kind).tobytes()
+        self.tokens.put(token, ids)
+        return ids
+
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that a space precedes and white space does not begin."""
+        if self.split is None:
+            return self._encoded([" " + p for p in pieces])
+        found = []
+        for piece in pieces:
+            tokens = self.split(" " + piece)
+            ids = [self.tokens.get(t) or self._of_token(t) for t in tokens]
+            found.append(b"".join(ids) if len(ids) > 1 else ids[0])
+        return found
+
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._encoded([text])[0]
         head, *pieces = text.split(" ")
         coded = list(map(self.pieces.get, pieces))
-        missing = [p for p, c in zip(pieces, coded, strict=True) if c is None]
-        if missing:
-            missing = list(set(missing))
+        if None in coded:
+            missing = list({p for p, c in zip(pieces, coded, strict=True) if c is None})
             if any(not p or p[0].isspace() for p in missing):
                 return self._encoded([text])[0]
-            new = dict(zip(missing, self._encoded([" " + p for p in missing]), strict=True))
+            new = dict(zip(missing, self._of_pieces(missing), strict=True))
             coded = [new[p] if c is None else c for p, c in zip(pieces, coded, strict=True)]
-            if len(self.pieces) < MOST_CACHED:
-                self.pieces.update(new)
+            for piece, ids in new.items():
+                self.pieces.put(piece, ids)
         return b"".join(self._encoded([head]) + coded) if head else b"".join(coded)
 
 
+def _letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: a byte that prints stands for
+    itself, the others follow from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_LETTERS = _letters()
+
+
 def id_type(n_ids: int) -> str:
     return "<u2" if n_ids <= 1 << 16 else "<u4"
 
 
+_ENCODED = "doc_id long, ids binary, seen binary"
+
+
 def _ids_of_texts(path: str, end_id: int):
+    """The ids of each document; a task's last row says how often it met each id."""
+
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         end = np.array([end_id], encoder.kind).tobytes()
+        seen = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
+        names = [c.split()[0] for c in _ENCODED.split(", ")]
         for batch in batches:
-            ids = [encoder.encode(t.as_py() or "") + end for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids = [encoder.encode(text or "") + end for text in batch.column(1).to_pylist()]
+            seen += np.bincount(np.frombuffer(b"".join(ids), encoder.kind), minlength=len(seen))
+            nothing = pa.nulls(len(ids), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), nothing], names)
+        nothing = pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([seen.tobytes()], pa.binary())], names)
 
     return of_batches
 
 
-def _counted(kind: str, n_ids: int):
+def _counted(n_ids: int):
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(n_ids, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                seen += np.bincount(np.frombuffer(value.as_py(), kind), minlength=n_ids)
+            for value in batch.column(0).to_pylist():
+                seen += np.frombuffer(value, np.int64)
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen[found])], ["id", "n"])
 
@@ -136,15 +201,15 @@ def _blocks(kind: str, rank_of: np.ndarray):
 
         def block() -> pa.RecordBatch:
             control, data = pack_ranks(rank_of[np.concatenate(ids)])
-            row = [shard, number, doc_ids, [len(x) for x in ids], control, data]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            row = [shard, number, size, doc_ids, [len(x) for x in ids], control, data]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             columns = [pa.array([v], t) for v, t in zip(row, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _BLOCK.split(", ")])
 
         for batch in batches:
-            for doc_id, value in zip(*batch.columns, strict=True):
-                doc_ids.append(doc_id.as_py())
-                ids.append(np.frombuffer(value.as_py(), kind))
+            for doc_id, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(np.frombuffer(value, kind))
                 size += len(ids[-1])
                 if size >= TOKENS_PER_BLOCK:
                     yield block()
@@ -183,18 +248,19 @@ def _documents(id_of: np.ndarray):
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Encodes ``doc_id, text`` with the tokenizer file and writes a file set to ``path``."""
     spark = docs.sparkSession
-    encoded = docs.select("doc_id", "text").mapInArrow(_ids_of_texts(tokenizer, end_id), "doc_id long, ids binary")
+    encoded = docs.select("doc_id", "text").mapInArrow(_ids_of_texts(tokenizer, end_id), _ENCODED)
     kept = folder(spark, "ids")
     encoded.write.option("compression", "zstd").parquet(kept)
-    encoded = spark.read.schema("doc_id long, ids binary").parquet(kept)
+    written = spark.read.schema(_ENCODED).parquet(kept)
     n_ids = Encoder.of(tokenizer).tokenizer.get_vocab_size()
     kind = id_type(n_ids)
-    found = encoded.select("ids").mapInArrow(_counted(kind, n_ids), "id long, n long")
+    found = written.where("seen IS NOT NULL").select("seen").mapInArrow(_counted(n_ids), "id long, n long")
     by_rank = found.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()
     rank_of = np.zeros(n_ids, np.uint32)
     rank_of[[row["id"] for row in by_rank]] = np.arange(len(by_rank), dtype=np.uint32)
     ranks = [(rank, row["id"]) for rank, row in enumerate(by_rank)]
     spark.createDataFrame(ranks, "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
+    encoded = written.where("ids IS NOT NULL").select("doc_id", "ids")
     ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     blocks = ordered.mapInArrow(_blocks(kind, rank_of), _BLOCK)
     blocks.write.option("compression", "zstd").parquet(f"{path}/blocks")
@@ -207,8 +273,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
     schema = "shard long, block long, nth long, doc_id long, before long, n_tokens long, ids_crc32 long"
     docs = blocks.mapInArrow(_documents(id_of), schema)
-    total = F.aggregate("counts", F.lit(0).cast("long"), lambda n, c: n + c)
-    sizes = blocks.select("shard", "block", total.alias("n"))
+    sizes = blocks.select("shard", "block", "n")
     shards = sizes.groupBy("shard").agg(F.sum("n").alias("n"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     shards = shards.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_shard_start"))
