@@ -38,12 +38,19 @@ OVERLAP = 1 << 10
 GROW = 8
 LOOKAHEAD = 8
 MOST_CACHED = 96 << 20  # bytes of pre-tokens and their ids that a worker keeps
-_ENTRY = 200  # bytes of a cache entry besides its text and ids
+_ENTRY = 150  # bytes of a cache entry besides its text and ids
 _CHUNKS_AT_ONCE = 16
+_ROWS_AT_ONCE = 256  # texts, or their ids and bytes, that a worker holds as Python objects
 
 _codecs: dict[tuple[str, str], "Codec"] = {}
 
 
+def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(start, _ROWS_AT_ONCE)
+
+
 class _Known(dict):
     """The ids of pre-tokens; those met for the first time are encoded."""
 
@@ -53,7 +60,7 @@ class _Known(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = np.array(self.encode(piece), "<u4").tobytes()
-        needed = 4 * len(piece) + len(ids) + _ENTRY
+        needed = 2 * len(piece) + len(ids) + _ENTRY
         if needed <= self.room:
             self.room -= needed
             self[piece] = ids
@@ -100,7 +107,7 @@ class Codec:
 def _whole(ranks: str, pattern: str):
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(ranks, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             texts = batch.column("text").to_pylist()
             ids = pa.array([codec.encode(codec.pieces(t)) for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
@@ -140,7 +147,7 @@ def _marked(ranks: str, pattern: str, chunk: int, overlap: int):
 
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(ranks, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             rows, parts, counts, texts = (batch.column(c).to_pylist() for c in ("row", "part", "n_parts", "text"))
             heads, tails = [], []
             for part, n, text in zip(parts, counts, texts, strict=True):
@@ -187,7 +194,7 @@ def _longer(chunks: DataFrame, chunk: int, overlap: int) -> DataFrame:
 def _between_seams(ranks: str, pattern: str, chunk: int):
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(ranks, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             ids = []
             places = (batch.column(c).to_pylist() for c in ("part", "text", "seam", "next_seam"))
             for part, text, seam, end in zip(*places, strict=True):
@@ -258,7 +265,7 @@ def decoded(parts: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(ranks, pattern)
-        for batch in batches:
+        for batch in _sliced(batches):
             values = [codec.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield batch.append_column("bytes", pa.array(values, pa.binary()))
 
