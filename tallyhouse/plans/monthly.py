@@ -2,7 +2,7 @@
 
 from hashlib import sha256
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.operators.enrich import (
     KNOWN,
@@ -18,7 +18,7 @@ from tallyhouse.operators.enrich import (
 from tallyhouse.operators.marts import customer_mart, sales_team_mart
 from tallyhouse.scratch import delete, keep, recorded
 from tallyhouse.sinks import jdbc, months, parquet
-from tallyhouse.sinks.months import Version, Written, months_of
+from tallyhouse.sinks.months import Version, Written, months_of, within
 from tallyhouse.sources.dimensions import Dimensions
 from tallyhouse.sources.jdbc import Database
 from tallyhouse.streaming.ingest import ACCEPTED, accepted_sales, landed_rows, next_batch, taken_back
@@ -134,11 +134,6 @@ def _filled(database: Database) -> str:
     return f"database-{sha256(database.url.encode()).hexdigest()[:16]}"
 
 
-def within(column: str, chosen: list[str | None]) -> Column:
-    dated = F.col(column).isin([m for m in chosen if m is not None])
-    return dated | F.col(column).isNull() if None in chosen else dated
-
-
 def _to_load(
     spark: SparkSession, store: str, out: str, dimensions: Dimensions, version: Version | None
 ) -> tuple[list[str | None], bool]:
@@ -205,8 +200,8 @@ def _written(
     first_days = [None if m is None else f"{m}-01" for m in touched]
     written: dict[str, Written] = {}
 
-    def write(name: str, rows: DataFrame, labels: list[str | None], below: list[str] | None = None) -> DataFrame:
-        written[name] = months.write(rows, out, name, DATASETS[name], epoch, labels, below)
+    def write(name: str, rows: DataFrame, labels: list[str | None], sort_by: list[str] | None = None) -> DataFrame:
+        written[name] = months.write(rows, out, name, DATASETS[name], epoch, labels, sort_by)
         return spark.read.schema(rows.schema).parquet(f"{out}/{name}/{parquet.VERSION}={epoch}")
 
     write("dropped_sales", dropped_sales(checked, ["sales_month"]), touched)
