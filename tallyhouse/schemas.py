@@ -162,14 +162,14 @@ CUSTOMER_MART = table(
     full_name=TEXT,
     address=TEXT,
     phone_number=TEXT,
-    total_sales=TOTAL,
     sales_date_month=DATE,
+    total_sales=TOTAL,
 )
 SALES_TEAM_MART = table(
     store_id=LONG,
     sales_person_id=LONG,
     full_name=TEXT,
+    sales_month=DATE,
     total_sales=TOTAL,
     incentive=TOTAL,
-    sales_month=DATE,
 )
