@@ -43,3 +43,105 @@ def test_odd_rows(documents):
     assert found[0].licence_sentences == ["mit-name"] * 3
     assert licences.scan(documents([])).count() == 0
     assert licences.scan(documents([(1, "x")]).withColumnRenamed("source", "licences")).first().licences == []
+
+
+GRANT = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"
+SOURCE = "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n"
+BINARY = "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n"
+ADVERT = "3. All advertising materials mentioning features or use of this software must\n   display the following acknowledgement:\n   This product includes software developed by Example Org.\n"
+ENDORSE = "3. Neither the name of {} nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"
+
+
+def _gnu(work, title, version, sep=";"):
+    return (
+        f"This {work} is free software; you can redistribute it and/or\nmodify it under the terms of the GNU {title}\n"
+        f"as published by the Free Software Foundation{sep} {version}.\n\nThis {work} is distributed in the hope that it will be useful,\n"
+        f"but WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU\n{title} for more details.\n"
+    )
+
+
+NOTICES = [
+    (GRANT + SOURCE + BINARY + ENDORSE.format("the copyright holder"), ["BSD-3-Clause"]),
+    (GRANT + SOURCE + BINARY + ENDORSE.format("Example Org, Inc."), ["BSD-3-Clause"]),
+    (GRANT + SOURCE + BINARY + ENDORSE.format("the University of Somewhere").replace("its\n", "their\n"), ["BSD-3-Clause"]),
+    ((GRANT + SOURCE + BINARY + ENDORSE.format("Org")).replace("\n", "\n # "), ["BSD-3-Clause"]),
+    ((GRANT + SOURCE + BINARY).replace("\n", "\r\n"), ["BSD-2-Clause"]),
+    (GRANT + SOURCE + BINARY + ADVERT + ENDORSE.format("Org"), ["BSD-4-Clause"]),
+    (_gnu("library", "Lesser General Public License", "either\nversion 2.1 of the License, or (at your option) any later version"), ["LGPL-2.1-or-later"]),
+    (_gnu("program", "Affero General Public License", "either version 3 of the\nLicense, or (at your option) any later version", ","), ["AGPL-3.0-or-later"]),
+    (_gnu("program", "General Public License", "either version 3 of the License, or\n(at your option) any later version", ",").replace("software;", "software:", 1), ["GPL-3.0-or-later"]),
+    (_gnu("program", "General Public License", "either version 2\nof the License, or (at your option) any later version"), ["GPL-2.0-or-later"]),
+    (_gnu("program", "General Public License", "version 2 of the License"), ["GPL-2.0-only"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", ["MPL-2.0"]),
+    ("This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/", ["EPL-2.0"]),
+    ("SPDX-License-Identifier: MIT", ["MIT"]),
+    ("// spdx-license-identifier: (mit OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0 */", ["MIT", "Apache-2.0", "GPL-2.0-only"]),
+    ("# Copyright Someone. All rights\n# reserved.", ["All-rights-reserved"]),
+    ("Copyright Foo Inc. All rights reserved.", ["All-rights-reserved"]),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n", ["Apache-2.0"]),
+    ("MIT License\nCopyright (c) Me\n\n" + MIT, ["MIT"]),
+    ("Neither the name of this village nor the names of its lakes are known.", []),
+    ("We redistribute software under no license at all; it is reserved.", []),
+]
+
+
+def test_notices_in_full(documents):
+    found = licences.scan(documents([(i, text) for i, (text, _) in enumerate(NOTICES)])).orderBy("doc_id").collect()
+    assert [r.licences for r in found] == [wanted for _, wanted in NOTICES]
+
+
+def test_every_sentence_passes_the_hint_and_is_found(documents):
+    texts = licences.PUBLIC.known() | licences.PUBLIC.named()
+    texts |= {s.replace(licences.GAP, "some one"): name for name, all_of in licences.PUBLIC.sentences.items() for s in all_of}
+    pairs = sorted(texts.items())
+    found = licences.scan(documents([(i, text.upper()) for i, (text, _) in enumerate(pairs)])).orderBy("doc_id").collect()
+    missed = [(text, r.licence_sentences) for (text, _), r in zip(pairs, found, strict=True) if len(r.licence_sentences) != 1]
+    assert not missed
+
+
+def test_a_catalogue_can_be_extended(documents):
+    more = licences.PUBLIC.extended({"House-1": ["house terms one"]}, {"x": ["do as <...> says"]}, [("House-2", ["x", "mit-name"])])
+    rows = [(1, "Licensed under the House Terms One."), (2, "Do as Ann says. MIT License."), (3, "MIT License.")]
+    found = licences.scan(documents(rows), more).orderBy("doc_id").collect()
+    assert [r.licences for r in found] == [["House-1"], ["House-2"], ["MIT"]]
+
+
+def _plain(text):
+    """The same by Python, place by place."""
+    import re
+
+    of = licences.PUBLIC
+    exact = of.known()
+    titles = of.named()
+
+    def name(sentence):
+        bare = re.sub(r"^\(?([0-9]{1,2}|[a-z])\)\s", "", sentence.lower().strip())
+        words = " ".join(re.findall(r"[a-z0-9.]+", re.sub(r"\.(?![a-z0-9])", " ", bare)))
+        if words in exact:
+            return exact[words]
+        if (title := re.sub(licences._UNDER, "", words)) in titles:
+            return titles[title]
+        return next((n for pattern, n in of.gapped() if re.search(pattern, words)), None)
+
+    ids = []
+    for paragraph in re.split(r"\n(?:[^A-Za-z0-9\n]*\n)+", text):
+        start = 0
+        ends = [m for m in re.finditer(r"(?<=[.!?:;])\s+", paragraph)]
+        cuts = [m for m in ends if not re.search(r"\b(inc|ltd|co|corp|v)\.$", paragraph[: m.start()], re.I)]
+        for begin, end in [*((m.start(), m.end()) for m in cuts), (len(paragraph), len(paragraph))]:
+            sentence, start = paragraph[start:begin], end
+            if found := name(sentence):
+                ids.append(found)
+            else:
+                ids += filter(None, map(name, re.split(r"(?<=[.!?:;])\s+|\n", sentence)))
+    return ids
+
+
+def test_agrees_with_plain_python(spark, documents):
+    import random
+
+    rng = random.Random(5)
+    pieces = [text for text, _ in NOTICES if "SPDX" not in text.upper()] + ["Something else.", "and a\nline", "No end"]
+    texts = ["".join(x + rng.choice([" ", "\n", "\n\n", ". "]) for x in rng.sample(pieces, 5)) for _ in range(60)]
+    found = licences.scan(documents(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [r.licence_sentences for r in found] == [_plain(t) for t in texts]
