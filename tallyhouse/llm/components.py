@@ -2,8 +2,9 @@
 
 Each round links the larger neighbours of every node to its smallest neighbour (large star),
 then the smaller neighbours likewise (small star), until every node is linked to the smallest
-node of its component. Minima combine before the shuffle and joins of hot nodes are split by
-adaptive execution, so no node's neighbours meet in one task. Each step is a kept table, so a
+node of its component. A node's arcs are dealt into ``SALTS`` shares by their far ends: minima are
+taken by share and then by node, and go back to the shares there are, so the neighbours of a hot node
+are spread over as many tasks, which adaptive execution splits further. Each step is a kept table, so a
 lost executor costs no earlier round.
 """
 
@@ -12,10 +13,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhouse.scratch import keep
 
 
+SALTS = 64
+
+
 def _to_smallest(arcs: DataFrame, kept: Column) -> DataFrame:
     """Links from the far ends of a node's arcs to the smallest of that node's star."""
-    centre = arcs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return arcs.join(centre, "u").where(kept)
+    arcs = arcs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    shares = arcs.groupBy("u", "s").agg(F.min("v").alias("m"))
+    centre = shares.groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_list("s").alias("shares"))
+    return arcs.join(centre.select("u", "m", F.explode("shares").alias("s")), ["u", "s"]).where(kept)
 
 
 def _large_star(links: DataFrame) -> DataFrame:
