@@ -8,11 +8,12 @@ and the fraction is an inclusion probability, which balanced sampling turns into
 Flight phase: three undecided documents at a time have a direction in which their probabilities
 can move while neither the expected words nor the expected number of documents change: the null
 space of these two constraints. They are moved until one of them is decided, one way or the
-other at random so that each keeps its probability on average. A group of documents ends with
-two undecided at most. Groups are blocks of a source, dealt by a hash; what they leave is dealt
-into fewer blocks, until one block per source is left. Landing phase: the last one or two
-documents are decided together, at their probabilities, in the way that misses the words least.
-So a source misses its target by two documents' words at most. Every level is a kept table.
+other at random so that each keeps its probability on average. Groups are blocks of a source,
+dealt by a hash, for which equal rows are numbered first; the ``LANDING`` documents that a block leaves
+are dealt into fewer blocks, until one block per source is left. Landing phase: the last documents of a
+source are decided together. Of all chances of their joint outcomes that give each document its
+probability, a linear program finds those that miss the words, and next to them the number of
+documents, least on average. Every level is a kept table.
 
 All chance comes from hashes of the block and of the documents' ids and texts, so reruns agree.
 
@@ -26,13 +27,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyhouse.llm import repeats
 from tallyhouse.llm.words import n_words
 from tallyhouse.scratch import keep
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BLOCK = 1000
+LANDING = 12  # documents; the landing looks at all their 2^12 joint outcomes
+DOCUMENT = 0.05  # what a document too many or too few counts, in mean sizes
+MOST_STEPS = 2000
 _NEAR = 1e-9
-_UNITS = "_row long, source string, _order long, _size long, _p double"
+_UNITS = "_row long, source string, _order long, _nth long, _size long, _p double"
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -72,10 +77,12 @@ def _moved(p: list[float], u: tuple[int, ...], chance: float) -> list[float]:
     return [x + step * d for x, d in zip(p, u, strict=True)]
 
 
-def _flight(sizes: list[int], p: list[float], chance: Callable[[], float]) -> list[int]:
-    """Moves ``p`` in place; returns the one or two that stay undecided."""
+def _flight(
+    sizes: list[int], p: list[float], chance: Callable[[], float], among: list[int] | None = None
+) -> list[int]:
+    """Moves ``p`` in place; returns the one or two of ``among`` (all) that stay undecided."""
     open_ones: list[int] = []
-    for i in range(len(p)):
+    for i in range(len(p)) if among is None else among:
         if not 0 < p[i] < 1:
             continue
         open_ones.append(i)
@@ -89,37 +96,57 @@ def _flight(sizes: list[int], p: list[float], chance: Callable[[], float]) -> li
     return open_ones
 
 
-def _land(sizes: list[int], p: list[float], left: list[int], chance: float) -> None:
-    """Decides the last two together; of all joint chances with their margins the best end."""
-    if len(left) == 1:
-        p[left[0]] = float(chance < p[left[0]])
-    if len(left) != 2:
-        return
-    i, j = left
-    miss = {(x, y): abs(sizes[i] * (x - p[i]) + sizes[j] * (y - p[j])) for x in (0, 1) for y in (0, 1)}
+def _least_on_average(outcomes: np.ndarray, miss: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of outcomes and their chances: margins are ``p`` and the average of ``miss`` is least.
 
-    def table(both: float) -> dict[tuple[int, int], float]:
-        return {(1, 1): both, (1, 0): p[i] - both, (0, 1): p[j] - both, (0, 0): 1 - p[i] - p[j] + both}
+    Simplex steps from the chances of "all documents with p above a uniform number".
+    """
+    k = len(p)
+    rows = np.vstack([outcomes.T.astype(float), np.ones(len(outcomes))])
+    order = np.argsort(-p, kind="stable")
+    basis = np.concatenate([[0], np.cumsum(1 << order)])
+    for step in range(MOST_STEPS):
+        held = rows[:, basis]
+        gain = miss - np.linalg.solve(held.T, miss[basis]) @ rows
+        better = np.flatnonzero(gain < -_NEAR * (1 + miss.max()))
+        if not len(better):
+            break
+        # The largest gain first; later the first of all, which cannot go round in circles.
+        enter = better[gain[better].argmin()] if step < MOST_STEPS // 4 else better[0]
+        chances, moved = np.linalg.solve(held, np.append(p, 1.0)), np.linalg.solve(held, rows[:, enter])
+        shrinking = np.flatnonzero(moved > _NEAR)
+        ratio = np.maximum(chances[shrinking], 0.0) / moved[shrinking]
+        least = shrinking[ratio <= ratio.min() + 1e-12]
+        basis[least[basis[least].argmin()]] = enter
+    chances = np.maximum(np.linalg.solve(rows[:, basis], np.append(p, 1.0)), 0.0)
+    return basis, chances / chances.sum()
 
-    ends = [table(max(0.0, p[i] + p[j] - 1)), table(min(p[i], p[j]))]
-    best = min(ends, key=lambda t: sum(t[k] * miss[k] for k in t))
-    for outcome, weight in best.items():
-        if chance < weight:
-            p[i], p[j] = map(float, outcome)
-            return
-        chance -= weight
-    p[i], p[j] = 0.0, 0.0
+
+def _land(sizes: list[int], p: list[float], left: list[int], chance: float) -> None:
+    """Decides ``left`` (``LANDING`` at most) together."""
+    if not left:
+        return
+    own, probability = np.array([sizes[i] for i in left], float), np.array([p[i] for i in left])
+    outcomes = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    off = outcomes - probability
+    miss = np.abs(off @ own) + DOCUMENT * max(1.0, own.mean()) * np.abs(off.sum(axis=1))
+    numbers, chances = _least_on_average(outcomes, miss, probability)
+    chosen = outcomes[numbers[min(np.searchsorted(np.cumsum(chances), chance, side="right"), len(numbers) - 1)]]
+    for i, taken in zip(left, chosen, strict=True):
+        p[i] = float(taken)
 
 
 def _decide(block: pd.DataFrame) -> pd.DataFrame:
-    block = block.sort_values(["_order", "_size", "_p"], kind="stable")
+    """The largest documents wait for the landing: decided alone, each could miss by its whole size."""
+    block = block.sort_values(["_size", "_order", "_nth", "_p"], kind="stable")
     sizes, p = block["_size"].tolist(), block["_p"].tolist()
-    seed = [int(block["_order"].iloc[0]) & 0xFFFFFFFF, len(block)]
+    seed = [int(block["_order"].min()) & 0xFFFFFFFF, len(block)]
     chances = iter(np.random.default_rng(seed).random(2 * len(p) + 2).tolist())
-    left = _flight(sizes, p, lambda: next(chances))
+    first = max(0, len(p) - (LANDING - 2))
+    left = _flight(sizes, p, lambda: next(chances), list(range(first))) + list(range(first, len(p)))
     if block["_blocks"].iloc[0] == 1:
         _land(sizes, p, left, next(chances))
-    return block.assign(_p=p)[["_row", "source", "_order", "_size", "_p"]]
+    return block.assign(_p=p)[["_row", "source", "_order", "_nth", "_size", "_p"]]
 
 
 def _decided(units: DataFrame) -> DataFrame:
@@ -136,7 +163,7 @@ def _decided(units: DataFrame) -> DataFrame:
             F.col("source").alias("_source"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")
         )
         rows = open_units.join(counts, open_units["source"].eqNullSafe(counts["_source"]))
-        spread = F.pmod(F.xxhash64(F.lit(level), "_order", "_size"), F.col("_blocks"))
+        spread = F.pmod(F.xxhash64(F.lit(level), "_order", "_nth", "_size"), F.col("_blocks"))
         moved = rows.withColumn("_block", spread).groupBy("source", "_block").applyInPandas(_decide, _UNITS)
         moved = keep(moved, f"flight-{level}")
         settled = moved.where("_p <= 0 OR _p >= 1")
@@ -164,7 +191,8 @@ def mix(
     units = units.withColumn("_whole", whole)
     fraction = F.when(times - F.col("_whole") > _NEAR, times - F.col("_whole")).otherwise(0.0)
     units = keep(units.withColumn("_p", fraction), "units")
-    decided = _decided(units.select("_row", "source", "_order", "_size", "_p"))
+    numbered = repeats.with_number(units.select("_row", "source", "_order", "_size", "_p"), ["source", "_order"])
+    decided = _decided(numbered)
     found = units.drop("_p").join(decided, "_row")
     return found.withColumn("copies", F.col("_whole") + F.col("_p").cast("long")).drop("_whole", "_p")
 

@@ -80,3 +80,59 @@ def test_clashing_columns_pass_through(documents):
     found = mixing.mixed(docs)
     assert found.columns == docs.columns
     assert found.where("copies = 'c'").count() == found.count() == 60
+
+
+def test_landing_keeps_margins_and_misses_least_on_average():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        k = int(rng.integers(1, 8))
+        p = rng.choice([0.25, 0.5, 0.7, 0.9], k) if rng.random() < 0.5 else rng.random(k)
+        sizes = rng.integers(1, 200, k)
+        outcomes = (np.arange(1 << k)[:, None] >> np.arange(k)) & 1
+        miss = np.abs((outcomes - p) @ sizes)
+        numbers, chances = mixing._least_on_average(outcomes, miss, p)
+        assert chances @ outcomes[numbers] == pytest.approx(p) and chances.min() >= 0
+        found = chances @ miss[numbers]
+        # No other outcome lowers the average at the prices of the basis: that proves it least.
+        rows = np.vstack([outcomes.T, np.ones(len(outcomes))]).astype(float)
+        prices = np.linalg.solve(rows[:, numbers].T, miss[numbers])
+        assert prices @ np.append(p, 1.0) == pytest.approx(found, abs=1e-6)
+        assert (miss - prices @ rows).min() > -1e-6
+
+
+def test_a_dozen_documents_land_near(documents):
+    rows = [(i, "w " * (5 + (i * i * 7919) % 700), "en", f"s{i % 4}", 0) for i in range(200)]
+    found = _mix(documents(rows))
+    for source in {r.source for r in found}:
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.copies * r._size for r in own) - own[0].target) < 0.03 * own[0].target
+
+
+def test_equal_rows_are_spread_over_blocks(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 100)
+    sizes = []
+    inner = mixing._decide
+
+    def noted(block):
+        with open(noted.path, "a") as f:
+            f.write(f"{len(block)}\n")
+        return inner(block)
+
+    import tempfile
+
+    noted.path = tempfile.mktemp()
+    monkeypatch.setattr(mixing, "_decide", noted)
+    rows = [(None, "w w w", "en", "a", 0)] * 5000 + [(i, "w " * (i % 9), "en", "b", 0) for i in range(1000)]
+    found = _mix(documents(rows))
+    sizes = [int(x) for x in open(noted.path)]
+    assert max(sizes) < 200
+    taken = sum(r.copies * r._size for r in found if r.source == "a")
+    assert abs(taken - found[0].target if found[0].source == "a" else 0) <= 6
+    again = _mix(documents(rows[::-1]).repartition(5))
+
+    def outcome(rows):
+        return sorted((r.source, r.doc_id or -1, r.copies) for r in rows)
+
+    assert outcome(found) == outcome(again)
