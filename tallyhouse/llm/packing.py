@@ -8,6 +8,7 @@ piece and, up to the room beside it, the block's shorter pieces that are still t
 sequence costs ``per_sequence`` plus its tokens plus their square over ``attention``. At the end
 each bin shrinks to the shortest permitted length that holds its contents.
 
+Equal rows are numbered first, so that repeated ones and those with NULL ids spread over all blocks.
 A block leaves a bin or two underfilled, and holds ``BLOCK`` pieces, so the loss is small and
 does not grow with the data. Blocks are packed in parallel and see nothing of each other.
 
@@ -22,6 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhouse.llm import repeats
+
 BLOCK = 4096
 _PACKED = "doc_id long, piece int, length long, sequence string, start long, capacity long"
 
@@ -97,12 +100,12 @@ def packed(docs: DataFrame, bins: Bins = Bins()) -> DataFrame:
     """
     longest = max(bins.lengths)
     length = F.greatest(F.coalesce(F.col("length").cast("long"), F.lit(1)), F.lit(1))
-    rows = docs.select("doc_id", length.alias("_whole"))
+    rows = repeats.with_number(docs.select("doc_id", length.alias("_whole")), ["doc_id", "_whole"])
     last = F.floor((F.col("_whole") - 1) / longest).cast("int")
-    pieces = rows.select("doc_id", "_whole", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    pieces = rows.select("doc_id", "_whole", "_nth", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     rest = F.least(F.col("_whole") - F.col("piece").cast("long") * longest, F.lit(longest))
     pieces = pieces.select(
-        "doc_id", "piece", rest.alias("length"), F.xxhash64("doc_id", "_whole", "piece").alias("_order")
+        "doc_id", "piece", rest.alias("length"), F.xxhash64("doc_id", "_whole", "_nth", "piece").alias("_order")
     )
     blocks = max(1, -(-pieces.count() // BLOCK))
     dealt = pieces.withColumn("_block", F.pmod("_order", F.lit(blocks)))

@@ -74,3 +74,12 @@ def test_empty_table_and_other_columns(spark):
     assert packing.packed(df).count() == 0
     one = packing.packed(spark.createDataFrame([(1, 5, "s")], "doc_id long, length long, sequence string")).first()
     assert (one.sequence, one.start, one.capacity) == ("0-0", 0, 512)
+
+
+def test_equal_rows_are_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 256)
+    rows = [(None, 5)] * 6000 + [(i, 7) for i in range(600)]
+    found = packing.packed(spark.createDataFrame(rows, "doc_id long, length int"), SMALL).collect()
+    assert len(found) == 6600
+    per_block = Counter(r.sequence.split("-")[0] for r in found)
+    assert max(per_block.values()) < 2 * 256
