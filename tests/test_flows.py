@@ -10,7 +10,7 @@ from helpers import dimensions_of, explained, golden_sales, rows_of, sales_of
 from tallyhouse import scratch
 from tallyhouse.operators import marts, quality, synth
 from tallyhouse.operators.enrich import KNOWN
-from tallyhouse.plans import job
+from tallyhouse.plans import flows, job
 from tallyhouse.plans.monthly import DATASETS, monthly_load, published
 from tallyhouse.schemas import CONTRACT
 from tallyhouse.sinks import months, parquet
@@ -289,3 +289,24 @@ def test_a_table_left_half_filled_is_filled_by_the_next_run(spark, tmp_path, mon
     assert list(tables.values()) == held
     n = len(calls)
     assert job.run(spark, chosen) == epoch and len(calls) == n
+
+
+def test_more_sales_are_corrected_in_more_files(spark, monkeypatch):
+    """No file holds more than its share, and both sides have as many, so that one takes the other's place."""
+    dropped = {}
+    monkeypatch.setattr(flows, "ROWS_PER_FILE", 100)
+    monkeypatch.setattr(flows.ingest, "ingest", lambda *_, **__: None)
+    monkeypatch.setattr(flows.refresh, "keep_marts", lambda *_: None)
+    monkeypatch.setattr(flows.refresh, "read_customer_mart", lambda *_: None)
+    monkeypatch.setattr(flows, "put_in_place", lambda *_: None)
+    monkeypatch.setattr(flows, "drop_csv", lambda df, folder: dropped.update({folder.rsplit("/", 1)[1]: df}))
+
+    class Sales:
+        def __init__(self):
+            self.spark, self.dimensions = spark, lambda: None
+
+        def sales(self, carry):
+            return golden_sales(spark).crossJoin(spark.range(100).select()).withColumn("l_linestatus", F.lit("F"))
+
+    flows.corrected_drop(Sales())
+    assert dropped["late"].rdd.getNumPartitions() == dropped["corrected"].rdd.getNumPartitions() == 9
