@@ -1,0 +1,101 @@
+"""Disk: what a load leaves behind on its way, and months in slices."""
+
+import os
+import time
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import dimensions_of, golden_sales, rows_of, sales_of
+from tallyhouse import scratch
+from tallyhouse.operators import marts
+from tallyhouse.plans import flows
+from tallyhouse.schemas import CONTRACT
+from tallyhouse.sinks import months, parquet
+from tallyhouse.sources.dimensions import Dimensions
+from tallyhouse.streaming import ingest, refresh
+
+MORE = [(1, 121, None, 1, "7.00"), (3, 122, date(2023, 6, 1), 4, "5.00"), (2, 121, date(2023, 5, 2), 2, "0.00")]
+
+
+def some_sales(spark):
+    return golden_sales(spark).unionByName(sales_of(spark, MORE))
+
+
+class Sales:
+    """What the queries ask of the tables, over rows of the test."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def sales(self, carry):
+        late = F.when(F.col("sales_person_id") % 2 == 0, "O").otherwise("F")
+        return some_sales(self.spark).withColumn("l_linestatus", late)
+
+    def dimensions(self):
+        return Dimensions(*dimensions_of(self.spark))
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).withColumn("k", F.xxhash64("id") % 50).groupBy("k").count()
+    kept = scratch.keep(rows, "probe")
+    parquet.overwrite_partitions(kept, str(tmp_path / "by-k"), ["count"], ["k"])
+    flows.drop_csv(kept.repartition(3), str(tmp_path / "text"))
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.1)  # files go a moment after the write
+    assert not left and kept.count() == rows.count()
+
+
+@pytest.mark.parametrize("name", ["corrected_drop"])
+def test_only_what_is_read_again_stays(spark, monkeypatch, name):
+    """The same mart, and neither dropped rows nor those kept on the way are left."""
+    monkeypatch.setattr(months, "SLICE", 3)
+    starts = []
+
+    def watched(df, label):
+        if label == "month-sums":  # the first that a slice keeps
+            starts.append([p for p in folders if f"/{label}-" in p and os.path.exists(p)])
+        return keep(df, label)
+
+    keep = scratch.keep
+    monkeypatch.setattr(refresh, "keep", watched)
+    with scratch.recorded() as folders:
+        found = getattr(flows, name)(Sales(spark))
+    wanted = marts.customer_mart(some_sales(spark), *dimensions_of(spark))
+    assert rows_of(found, *wanted.columns) == rows_of(wanted)
+    left = {os.path.basename(p).rpartition("-")[0] for p in folders if os.path.exists(p)}
+    assert left == {name.partition("_")[0]}
+    assert len(starts) > 2 and not any(starts)  # a slice begins when nothing of the one before is left
+
+
+def test_slices_hold_whole_months(spark, monkeypatch):
+    monkeypatch.setattr(months, "SLICE", 3)
+    rows = [("a",)] * 2 + [("b",)] + [("c",)] * 5 + [("d",)] + [(None,)] * 2
+    df = spark.createDataFrame(rows, "month string")
+    assert months.slices(df, "month") == [["a", "b"], ["c"], ["d", None]]
+    assert months.slices(df, "month", ["a", "x", "c"]) == [["a", "x"], ["c"]]
+    assert months.slices(df.limit(0), "month") == [[]]
+
+
+def test_sums_of_a_batch_that_runs_again_replace_the_first(spark, tmp_path, monkeypatch):
+    """Also those of a month that the second run lacks; the month stays noted."""
+    monkeypatch.setattr(months, "SLICE", 3)
+    landing, store, out = (str(tmp_path / x) for x in ("landing", "store", "out"))
+    some_sales(spark).select(*CONTRACT).write.option("header", True).csv(landing)
+    ingest.ingest(spark, landing, store)
+    refresh.add_sums(spark, store, out, 0)
+    touched = refresh.touched_months(spark, out, 0)
+    monkeypatch.setattr(refresh, "accepted_sales", lambda *a: ingest.accepted_sales(*a).where("sales_month = '2023-03'"))
+    refresh.add_sums(spark, store, out, 0)
+    assert rows_of(refresh.batch_sums(spark, out).select("sales_month").distinct()) == [("2023-03",)]
+    assert refresh.touched_months(spark, out, 0) == touched == ["2023-03", "2023-04", "2023-05", "2023-06", None]
