@@ -72,7 +72,8 @@ def monthly_load(
 
     The sales are read once: their keys are checked into a narrow kept table, from which the report
     of dropped sales counts what a dimension lacks, and to which each row dataset joins only the
-    columns it holds. Marts are totalled from what was published. Products, if the dimensions have
+    columns it holds. Marts are totalled from what was published. This goes by slices of months, so that no
+    more than one slice's shuffles and kept rows lie beside what is published. Products, if the dimensions have
     them, are joined to the sales rows. With a ``database`` its two mart tables are replaced, so a
     rerun leaves no row twice.
     """
@@ -193,28 +194,35 @@ def _written(
     customers, stores, staff = dimensions.customers, dimensions.stores, dimensions.staff
     products = dimensions.products
     named = [] if products is None else ["product_name"]
-    sales = accepted_sales(spark, store).where(within("sales_month", touched))
-    sales = sales.select(*KEYS, "sales_date", "total_cost", "sales_month", *named)
-    checked = keep(with_known_keys(sales, customers, stores, staff), "checked-sales")
-    known = checked.where(" AND ".join(KNOWN)).drop(*KNOWN)
+    accepted = accepted_sales(spark, store).where(within("sales_month", touched))
+    accepted = accepted.select(*KEYS, "sales_date", "total_cost", "sales_month", *named)
     first_days = [None if m is None else f"{m}-01" for m in touched]
+    labels = dict.fromkeys(DATASETS, touched) | {"customer_mart": first_days, "sales_team_mart": first_days}
     written: dict[str, Written] = {}
 
-    def write(name: str, rows: DataFrame, labels: list[str | None], sort_by: list[str] | None = None) -> DataFrame:
-        written[name] = months.write(rows, out, name, DATASETS[name], epoch, labels, sort_by)
+    def write(name: str, rows: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
+        written[name] = months.write(rows, out, name, DATASETS[name], epoch, labels[name], sort_by)
         return spark.read.schema(rows.schema).parquet(f"{out}/{name}/{parquet.VERSION}={epoch}")
 
-    write("dropped_sales", dropped_sales(checked, ["sales_month"]), touched)
-    bought = customer_rows(join_customer(known, customers), ["sales_month"])
-    bought = write("customer_rows", bought, touched)
-    write("customer_mart", customer_mart(bought, customers), first_days)
-
-    rows = join_salesperson(join_store(known.drop("sales_month"), stores), staff)
-    if products is None:
-        rows = sales_rows(rows)
-    else:
-        rows = sales_rows(join_product(rows, products), PRODUCT_COLUMNS)
-    sold = write("sales_rows", rows, touched, ["store_id"])
-    sold = sales_team_mart(sold.drop("sales_month"), None, stores, staff)
-    write("sales_team_mart", sold, first_days)
+    for some in months.slices(accepted, "sales_month", touched):
+        of_slice = within("sales_month", some)
+        with recorded() as scratch:
+            sales = with_known_keys(accepted.where(of_slice), customers, stores, staff)
+            checked = keep(sales, "checked-sales")
+            known = checked.where(" AND ".join(KNOWN)).drop(*KNOWN)
+
+            write("dropped_sales", dropped_sales(checked, ["sales_month"]))
+            bought = customer_rows(join_customer(known, customers), ["sales_month"])
+            bought = write("customer_rows", bought, ["customer_id"]).where(of_slice)
+            write("customer_mart", customer_mart(bought, customers), ["customer_id"])
+
+            rows = join_salesperson(join_store(known.drop("sales_month"), stores), staff)
+            if products is None:
+                rows = sales_rows(rows)
+            else:
+                rows = sales_rows(join_product(rows, products), PRODUCT_COLUMNS)
+            sold = write("sales_rows", rows, ["store_id"]).where(of_slice)
+            sold = sales_team_mart(sold.drop("sales_month"), None, stores, staff)
+            write("sales_team_mart", sold)
+        delete(spark, scratch)
     return written

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from helpers import dimensions_of, golden_sales, rows_of, sales_of
 from tallyhouse import scratch
 from tallyhouse.operators import marts
-from tallyhouse.plans import flows
+from tallyhouse.plans import flows, monthly
 from tallyhouse.schemas import CONTRACT
 from tallyhouse.sinks import months, parquet
 from tallyhouse.sources.dimensions import Dimensions
@@ -56,19 +56,20 @@ def test_a_write_leaves_no_shuffle(spark, tmp_path):
     assert not left and kept.count() == rows.count()
 
 
-@pytest.mark.parametrize("name", ["corrected_drop"])
+@pytest.mark.parametrize("name", ["corrected_drop", "touched_month_publish"])
 def test_only_what_is_read_again_stays(spark, monkeypatch, name):
     """The same mart, and neither dropped rows nor those kept on the way are left."""
     monkeypatch.setattr(months, "SLICE", 3)
     starts = []
 
     def watched(df, label):
-        if label == "month-sums":  # the first that a slice keeps
+        if label in ("month-sums", "checked-sales"):  # the first that a slice keeps
             starts.append([p for p in folders if f"/{label}-" in p and os.path.exists(p)])
         return keep(df, label)
 
     keep = scratch.keep
     monkeypatch.setattr(refresh, "keep", watched)
+    monkeypatch.setattr(monthly, "keep", watched)
     with scratch.recorded() as folders:
         found = getattr(flows, name)(Sales(spark))
     wanted = marts.customer_mart(some_sales(spark), *dimensions_of(spark))
@@ -87,6 +88,21 @@ def test_slices_hold_whole_months(spark, monkeypatch):
     assert months.slices(df.limit(0), "month") == [[]]
 
 
+def test_a_load_by_slices_is_the_same_version(spark, tmp_path, monkeypatch):
+    landing, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    some_sales(spark).select(*CONTRACT).write.option("header", True).csv(landing)
+    ingest.ingest(spark, landing, store)
+    dimensions = Dimensions(*dimensions_of(spark))
+    monthly.monthly_load(spark, store, str(tmp_path / "at-once"), dimensions)
+    monkeypatch.setattr(months, "SLICE", 3)
+    monthly.monthly_load(spark, store, str(tmp_path / "by-slices"), dimensions)
+    versions = [months.newest(spark, str(tmp_path / x)) for x in ("at-once", "by-slices")]
+    assert len({str({d: sorted(map(str, m)) for d, m in v.months.items()}) for v in versions}) == 1
+    for name in monthly.DATASETS:
+        once, sliced = (monthly.published(spark, str(tmp_path / x), name) for x in ("at-once", "by-slices"))
+        assert sliced.schema == once.schema and rows_of(sliced) == rows_of(once)
+
+
 def test_sums_of_a_batch_that_runs_again_replace_the_first(spark, tmp_path, monkeypatch):
     """Also those of a month that the second run lacks; the month stays noted."""
     monkeypatch.setattr(months, "SLICE", 3)
