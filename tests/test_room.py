@@ -56,7 +56,7 @@ def test_a_write_leaves_no_shuffle(spark, tmp_path):
     assert not left and kept.count() == rows.count()
 
 
-@pytest.mark.parametrize("name", ["corrected_drop", "touched_month_publish"])
+@pytest.mark.parametrize("name", ["corrected_drop", "touched_month_publish", "cumulative_mart"])
 def test_only_what_is_read_again_stays(spark, monkeypatch, name):
     """The same mart, and neither dropped rows nor those kept on the way are left."""
     monkeypatch.setattr(months, "SLICE", 3)
